@@ -1,0 +1 @@
+"""Kept for the package layout only: the feature set has no streaming operator."""
