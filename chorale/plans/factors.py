@@ -84,7 +84,7 @@ def evaluate_factors(
         key = USER
     per_user = user_hits(pairs, ranked, k, user=key, item=ITEM_INDEX, extra=extra)
     errors = ["square_error", "n_predicted"]
-    rmse = F.sqrt(F.sum("square_error") / F.sum("n_predicted")).alias("rmse")
+    rmse = F.sqrt(F.sum("square_error") / F.nullif(F.sum("n_predicted"), F.lit(0))).alias("rmse")
     return mean_metrics(per_user, [k], keep=errors, extra=[rmse]).select(
         "k", "n_users", "rmse", "map", "precision", "ndcg", "recall"
     )
