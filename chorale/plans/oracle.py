@@ -258,7 +258,7 @@ ORACLE: dict[str, str] = {
     ),
     "recommend_popular": (
         f"WITH {TRAIN}, {scores('train')}, {ranking()}"
-        " SELECT DISTINCT user_id, (SELECT string_agg(recording_msid, '|' ORDER BY pos)"
+        " SELECT DISTINCT user_id, (SELECT coalesce(string_agg(recording_msid, '|' ORDER BY pos), '')"
         f" FROM ranking WHERE pos <= {c.KS[0]}) AS predicted FROM tagged WHERE NOT is_train"
     ),
     "relevant_lists": (
