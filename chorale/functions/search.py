@@ -9,21 +9,23 @@ from pyspark.sql import functions as F
 def count_at_most(bounds: Column, key: Column) -> Column:
     """How many entries of the ascending array ``bounds`` are <= ``key``.
 
-    Takes about log2(size) comparisons a row, so that arrays with many
-    thousands of bounds stay cheap.
+    Tries steps of falling powers of two, about log2(size) comparisons a row, so
+    that arrays with many thousands of bounds stay cheap. A step past the end
+    reads null, which is not at most the key.
     """
-    size = F.size(bounds)
-    rounds = F.sequence(F.lit(0), F.ceil(F.log2(size + F.lit(1))).cast("int"))
-    start = F.struct(F.lit(0).alias("low"), size.alias("high"))
+    largest = F.ceil(F.log2(F.size(bounds) + F.lit(1))).cast("int")
+    steps = F.transform(
+        F.sequence(largest, F.lit(0)), lambda power: F.pow(F.lit(2), power).cast("int")
+    )
 
-    def halve(state: Column, _: Column) -> Column:
-        low, high = state["low"], state["high"]
-        middle = F.floor((low + high) / F.lit(2)).cast("int")
-        is_open = low < high
-        at_most = F.get(bounds, middle) <= key
-        return F.struct(
-            F.when(is_open & at_most, middle + F.lit(1)).otherwise(low).alias("low"),
-            F.when(is_open & ~at_most, middle).otherwise(high).alias("high"),
+    def found_for(key: Column) -> Column:
+        return F.aggregate(
+            steps,
+            F.lit(0),
+            lambda found, step: F.when(
+                F.get(bounds, found + step - F.lit(1)) <= key, found + step
+            ).otherwise(found),
         )
 
-    return F.aggregate(rounds, start, halve, lambda state: state["low"])
+    # The key is bound to a variable, so that it is not put together again for each step.
+    return F.get(F.transform(F.array(key), found_for), F.lit(0))

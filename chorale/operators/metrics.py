@@ -123,7 +123,7 @@ def ranking_metrics(
 
 def full_ranking_metrics(relevant: DataFrame, ranking: DataFrame, ks: Sequence[int]) -> DataFrame:
     """The same with AUC and mean reciprocal rank, for a whole ranking shared by all users."""
-    n_items = ranking.agg(F.count(F.lit(1)).alias("n_items")).scalar()
+    n_items = ranking.agg(F.max(POSITION).alias("n_items")).scalar()
     per_user = user_hits(relevant, ranking, max(ks), whole_ranking=True)
     return mean_metrics(per_user, ks, n_items)
 

@@ -26,49 +26,38 @@ COPY_RUN = 100_000
 
 @dataclass(frozen=True)
 class HotRule:
-    """A key is hot above ``floor`` rows and above one ``share``-th of all rows.
+    """The hot keys are the ``most`` largest ones among those above ``floor`` rows.
 
-    Fewer than ``share`` keys can be hot, whatever the data, so a table of the
-    hot keys is safe to broadcast.
+    So whatever the data, a table of hot keys has a fixed size bound, and every
+    other key holds at most ``floor`` rows or one ``most``-th of all rows.
     """
 
     floor: int = 1_000_000
-    share: int = 10_000
+    most: int = 10_000
     pieces_per_limit: int = 4
 
 
 DEFAULT_RULE = HotRule()
 
 
-def hot_keys(df: DataFrame, keys: list[str], rule: HotRule = DEFAULT_RULE) -> DataFrame:
-    """The hot keys with their ``key_rows`` and the number of ``pieces`` to cut them into.
-
-    The pieces of all hot keys together are at most
-    ``(pieces_per_limit + 1) * share``.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(KEY_ROWS))
-    fair_share = sizes.agg((F.sum(KEY_ROWS) / F.lit(rule.share)).alias("fair")).scalar()
-    limit = F.greatest(F.lit(float(rule.floor)), fair_share)
-    return (
-        sizes.withColumn("limit", limit)
-        .where(F.col(KEY_ROWS) > F.col("limit"))
-        .withColumn("pieces", F.ceil(F.col(KEY_ROWS) * rule.pieces_per_limit / F.col("limit")))
-        .select(*keys, KEY_ROWS, "pieces")
-    )
-
-
 def find_hot_keys(
     df: DataFrame, keys: list[str], rule: HotRule = DEFAULT_RULE
 ) -> DataFrame | None:
-    """The hot keys as a local table, or None where there are none.
+    """The hot keys with ``key_rows`` and the number of ``pieces`` to cut them into.
 
-    Runs one job that reads the key columns only. What comes to the driver is
-    fewer than ``rule.share`` rows. Deciding this before the plan is built keeps
-    the usual plan as small as the plain window's.
+    None where no key is hot. Runs one job that reads the key columns only and
+    brings at most ``rule.most`` rows to the driver; deciding this before the
+    plan is built keeps the usual plan as small as the plain window's. The pieces
+    of all keys together are at most ``(pieces_per_limit + 1) * most``.
     """
-    found = hot_keys(df, keys, rule)
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(KEY_ROWS))
+    largest = sizes.where(F.col(KEY_ROWS) > rule.floor).orderBy(F.desc(KEY_ROWS)).limit(rule.most)
+    rows = largest.collect()
+    if not rows:
+        return None
+    limit = max(float(rule.floor), sum(row[KEY_ROWS] for row in rows) / rule.most)
+    pieces = F.ceil(F.col(KEY_ROWS) * F.lit(rule.pieces_per_limit) / F.lit(limit))
+    return df.sparkSession.createDataFrame(rows, largest.schema).withColumn("pieces", pieces)
 
 
 def with_key_rows(
@@ -117,32 +106,41 @@ def _positions_by_window(df: DataFrame, keys: list[str], order: list[str]) -> Da
     ).withColumn(KEY_ROWS, F.count(F.lit(1)).over(per_key))
 
 
-def with_global_positions(df: DataFrame, order: list[str], pieces: int = 1024) -> DataFrame:
+def with_global_positions(
+    df: DataFrame, order: list[str], pieces: int | None = None
+) -> DataFrame:
     """Every row with its ``position`` (from 1) in the whole table.
 
     The rows must be unique on ``order``. A plain window without a partition key
-    would sort the table in one task; here each task sorts one piece of it.
+    would sort the table in one task; here each task sorts some of ``pieces``
+    pieces of it, by default four for each shuffle partition.
     """
+    if pieces is None:
+        pieces = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*order)
     bounds = (
         _spread_picks(df, [], F.lit(pieces), order)
         .agg(F.array_sort(F.collect_list("pick")).alias("bounds"))
         .scalar()
     )
-    placed = df.withColumn("bounds", bounds).withColumn("piece", count_at_most(F.col("bounds"), key))
-    placed = placed.drop("bounds")
-    # At most pieces + 1 rows, so one task may sum them up.
+    inside = F.row_number().over(Window.partitionBy("piece").orderBy(*order))
+    numbered = (
+        df.withColumn("bounds", bounds)
+        .withColumn("piece", count_at_most(F.col("bounds"), key))
+        .drop("bounds")
+        .withColumn("inside", inside)
+    )
+    # Sums at most pieces + 1 rows in one task. The counts come from the numbered
+    # rows, whose shuffle is then used twice.
     before = (
-        placed.groupBy("piece")
-        .agg(F.count(F.lit(1)).alias("piece_rows"))
+        numbered.groupBy("piece")
+        .agg(F.max("inside").cast("bigint").alias("piece_rows"))
         .withColumn("before", _sum_of_earlier("piece_rows", Window.orderBy("piece")))
         .select("piece", "before")
     )
-    inside = F.row_number().over(Window.partitionBy("piece").orderBy(*order))
     return (
-        placed.withColumn("inside", inside)
-        .join(F.broadcast(before), "piece", "left")
-        .withColumn(POSITION, (F.col("before") + F.col("inside")).cast("bigint"))
+        numbered.join(F.broadcast(before), "piece", "left")
+        .withColumn(POSITION, F.col("before") + F.col("inside"))
         .select(*df.columns, POSITION)
     )
 

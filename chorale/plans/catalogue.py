@@ -77,10 +77,26 @@ def validation_ratings(spark: SparkSession, folder: str) -> DataFrame:
     return prepare.play_counts(sides(spark, folder)[1])
 
 
+def written_sides(spark: SparkSession, interactions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(train, validation) counts, sorted and counted once and read back from a table.
+
+    For queries that need both sides, or one of them several times.
+    """
+    path = scratch_path(spark, "split")
+    tables.write_split(loading.split_ratings(interactions), path)
+    return tables.load_split(spark, path, "train"), tables.load_split(spark, path, "validation")
+
+
 def all_ratings(spark: SparkSession, folder: str) -> DataFrame:
     return prepare.play_counts(listens(spark, folder))
 
 
+def _written_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    """All counted pairs, written once for queries that go over them several times."""
+    path = scratch_path(spark, "ratings")
+    return tables.materialize(spark, path, lambda: all_ratings(spark, folder))
+
+
 def popular(train: DataFrame) -> DataFrame:
     return popularity.popularity_scores(train, DAMPING, USER_THRESHOLD)
 
@@ -130,13 +146,10 @@ def conform_ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_read_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "split")
-    tables.write_split(loading.split_ratings(listens(spark, folder)), path)
-    both = [
-        tables.load_split(spark, path, side).withColumn("side", F.lit(side))
-        for side in ("train", "validation")
-    ]
-    return both[0].unionByName(both[1])
+    train, validation = written_sides(spark, listens(spark, folder))
+    return train.withColumn("side", F.lit("train")).unionByName(
+        validation.withColumn("side", F.lit("validation"))
+    )
 
 
 def single_file_sample(spark: SparkSession, folder: str) -> DataFrame:
@@ -322,7 +335,7 @@ def popularity_ranking(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def recommend_popular(spark: SparkSession, folder: str) -> DataFrame:
-    train, validation = sides(spark, folder)
+    train, validation = written_sides(spark, listens(spark, folder))
     top = popularity.popularity_top(popular(train), KS[1])
     users = prepare.distinct_users(validation)
     return popularity.recommend_popular(users, top, KS[0]).select(USER, joined("predicted"))
@@ -343,7 +356,7 @@ def _metric_names(df: DataFrame) -> list[str]:
 
 def metrics_popularity(spark: SparkSession, folder: str) -> DataFrame:
     """The popularity run on validation and on held-out events."""
-    train, validation = sides(spark, folder)
+    train, validation = written_sides(spark, listens(spark, folder))
     sets = {"validation": validation, "test": held_out(spark, folder)}
     result = run_popularity(train, sets, KS, DAMPING, USER_THRESHOLD)
     return rounded(result, *_metric_names(result))
@@ -351,7 +364,7 @@ def metrics_popularity(spark: SparkSession, folder: str) -> DataFrame:
 
 def metrics_purchases(spark: SparkSession, folder: str) -> DataFrame:
     """The popularity run on purchases, where most items miss the user threshold."""
-    train, validation = splits.split_by_user_time(adapters.purchases(spark, folder))
+    train, validation = written_sides(spark, adapters.purchases(spark, folder))
     result = run_popularity(train, {"validation": validation}, KS, DAMPING, USER_THRESHOLD)
     return rounded(result, *_metric_names(result))
 
@@ -363,42 +376,41 @@ def _full_metrics(train: DataFrame, relevant: DataFrame) -> DataFrame:
 
 
 def metrics_auc_mrr(spark: SparkSession, folder: str) -> DataFrame:
-    train, validation = sides(spark, folder)
+    train, validation = written_sides(spark, listens(spark, folder))
     return _full_metrics(train, validation)
 
 
 def metrics_train_side(spark: SparkSession, folder: str) -> DataFrame:
-    train, _ = sides(spark, folder)
+    train, _ = written_sides(spark, listens(spark, folder))
     return _full_metrics(train, train)
 
 
 def metrics_auc_purchases(spark: SparkSession, folder: str) -> DataFrame:
-    train, validation = splits.split_by_user_time(adapters.purchases(spark, folder))
+    train, validation = written_sides(spark, adapters.purchases(spark, folder))
     return _full_metrics(train, validation)
 
 
 def metrics_every_user(spark: SparkSession, folder: str) -> DataFrame:
     """Top-N of each user's own history against held-out repeats; users without one score 0."""
-    train = train_ratings(spark, folder)
+    train, validation = written_sides(spark, listens(spark, folder))
     own = lists.top_n_per_user(train, KS[0]).select(USER, ITEM, POSITION)
-    relevant = metrics.relevant_pairs(
-        prepare.min_plays(validation_ratings(spark, folder), PLAY_THRESHOLD)
-    )
+    relevant = metrics.relevant_pairs(prepare.min_plays(validation, PLAY_THRESHOLD))
     result = metrics.ranking_metrics(relevant, own, KS[:1], users=train)
     return rounded(result, *_metric_names(result))
 
 
 def rmse_mean_predictor(spark: SparkSession, folder: str) -> DataFrame:
     """RMSE of predicting each pair by the item's mean play count in train."""
-    means = train_ratings(spark, folder).groupBy(ITEM).agg(F.avg(PLAYS).alias("prediction"))
-    predictions = validation_ratings(spark, folder).join(means, ITEM)
+    train, validation = written_sides(spark, listens(spark, folder))
+    means = train.groupBy(ITEM).agg(F.avg(PLAYS).alias("prediction"))
+    predictions = validation.join(means, ITEM)
     return rounded(metrics.rmse(predictions), "rmse")
 
 
 def split_stability(spark: SparkSession, folder: str) -> DataFrame:
     """Popularity metrics under several random splits of the pairs."""
     result = comparison.split_stability(
-        all_ratings(spark, folder), SEEDS, KS, DAMPING, USER_THRESHOLD
+        _written_ratings(spark, folder), SEEDS, KS, DAMPING, USER_THRESHOLD
     )
     return rounded(result, *_metric_names(result))
 
@@ -407,10 +419,11 @@ def split_stability(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, folder: str):
-    train = prepare.min_plays(train_ratings(spark, folder), PLAY_THRESHOLD)
+    train, validation = written_sides(spark, listens(spark, folder))
+    train = prepare.min_plays(train, PLAY_THRESHOLD)
     indexes = fa.train_indexes(train)
     model = fa.fit_factors(fa.index_pairs(train, indexes), GRID[0])
-    validation = prepare.min_plays(validation_ratings(spark, folder), PLAY_THRESHOLD)
+    validation = prepare.min_plays(validation, PLAY_THRESHOLD)
     return model, fa.index_pairs(validation, indexes), indexes
 
 
@@ -459,13 +472,8 @@ def als_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _tuned(spark: SparkSession, folder: str) -> factors.Tuned:
-    return factors.tune(
-        train_ratings(spark, folder),
-        validation_ratings(spark, folder),
-        GRID,
-        KS[0],
-        PLAY_THRESHOLD,
-    )
+    train, validation = written_sides(spark, listens(spark, folder))
+    return factors.tune(train, validation, GRID, KS[0], PLAY_THRESHOLD)
 
 
 def als_tune(spark: SparkSession, folder: str) -> DataFrame:
@@ -483,12 +491,12 @@ def tune_edge_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def als_fit_scaling(spark: SparkSession, folder: str) -> DataFrame:
-    return comparison.fit_scaling(all_ratings(spark, folder), GRID[0], FRACTIONS)
+    return comparison.fit_scaling(_written_ratings(spark, folder), GRID[0], FRACTIONS)
 
 
 def compare_models(spark: SparkSession, folder: str) -> DataFrame:
     return comparison.compare_models(
-        all_ratings(spark, folder), GRID[0], KS[0], PLAY_THRESHOLD, DAMPING, user_threshold=1
+        _written_ratings(spark, folder), GRID[0], KS[0], PLAY_THRESHOLD, DAMPING, user_threshold=1
     )
 
 

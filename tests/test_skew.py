@@ -9,13 +9,12 @@ from chorale.operators import skew
 from chorale.operators.skew import (
     HotRule,
     find_hot_keys,
-    hot_keys,
     with_global_positions,
     with_key_rows,
     with_positions,
 )
 
-EAGER = HotRule(floor=3, share=10_000)
+EAGER = HotRule(floor=3)
 
 
 def skewed_rows(seed=3):
@@ -48,13 +47,18 @@ def test_positions_equal_brute_force(spark, monkeypatch, rule, copy_run):
 def test_the_pieces_way_is_taken_for_hot_keys_only(spark):
     df = spark.createDataFrame(skewed_rows(), "user int, time int, item string")
     assert find_hot_keys(df, ["user"]) is None
-    assert [r.user for r in hot_keys(df, ["user"], HotRule(floor=50)).collect()] == [1]
-
-
-def test_fewer_hot_keys_than_share(spark):
-    df = spark.range(1000).select((F.col("id") % 100).alias("key"))
-    assert hot_keys(df, ["key"], HotRule(floor=0, share=50)).count() < 50
-    assert hot_keys(df, ["key"], HotRule(floor=0, share=101)).count() == 100
+    assert [r.user for r in find_hot_keys(df, ["user"], HotRule(floor=50)).collect()] == [1]
+
+
+def test_hot_keys_and_their_pieces_are_bounded(spark):
+    df = spark.range(1000).select((F.col("id") % 90).alias("key"))
+    hot = find_hot_keys(df, ["key"], HotRule(floor=0, most=50)).collect()
+    assert len(hot) == 50 and min(r.key_rows for r in hot) >= 11
+    assert sum(r.pieces for r in hot) <= 5 * 50
+    # The keys left out are no larger than one part in `most`.
+    one_big = spark.range(2000).select(F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("key"))
+    hot = find_hot_keys(one_big, ["key"], HotRule(floor=0, most=3)).collect()
+    assert max(r.key_rows for r in hot) == 1000
 
 
 @pytest.mark.parametrize("rule", [skew.DEFAULT_RULE, EAGER])
