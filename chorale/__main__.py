@@ -22,7 +22,9 @@ def prepare(spark: SparkSession, data: Dataset, args: argparse.Namespace) -> Non
 def popularity(spark: SparkSession, data: Dataset, args: argparse.Namespace) -> None:
     loaded = loading.prepare(spark, data)
     train = loaded.pop("train")
-    run_popularity(train, loaded, [args.top], args.damping, args.min_users).show(truncate=False)
+    run_popularity(
+        train, loaded, [args.top], args.damping, args.min_users, counted=True
+    ).show(truncate=False)
 
 
 def tune(spark: SparkSession, data: Dataset, args: argparse.Namespace) -> None:

@@ -90,6 +90,13 @@ def predict(model: ALSModel, indexed: DataFrame) -> DataFrame:
     return model.transform(indexed)
 
 
+def predict_all(model: ALSModel, indexed: DataFrame) -> DataFrame:
+    """All pairs; the ``prediction`` is null where the user or item is unknown."""
+    scored = model.copy().setColdStartStrategy("nan").transform(indexed)
+    prediction = F.col("prediction")
+    return scored.withColumn("prediction", F.when(~F.isnan(prediction), prediction))
+
+
 def recommend(model: ALSModel, indexed: DataFrame, top_n: int) -> DataFrame:
     """(user_index, recommendations): the best items of every known user in ``indexed``."""
     return model.recommendForUserSubset(indexed.select(USER_INDEX).distinct(), top_n)

@@ -19,9 +19,15 @@ from chorale.functions import ranking_metrics as rm
 BROADCAST_PLACES = 100_000
 
 
-def relevant_pairs(df: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
-    """The set of (user, item) pairs in a table of events or counts."""
-    return df.select(user, item).distinct()
+def relevant_pairs(
+    df: DataFrame, user: str = USER, item: str = ITEM, counted: bool = False
+) -> DataFrame:
+    """The set of (user, item) pairs in a table.
+
+    A ``counted`` table has each pair once already, which saves the shuffle.
+    """
+    pairs = df.select(user, item)
+    return pairs if counted else pairs.distinct()
 
 
 def user_hits(

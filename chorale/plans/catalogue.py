@@ -18,7 +18,6 @@ from chorale.columns import (
     POSITION,
     TIME,
     USER,
-    USER_INDEX,
 )
 from chorale.operators import factors as fa
 from chorale.operators import features, lists, metrics, popularity, prepare, splits
@@ -357,21 +356,24 @@ def _metric_names(df: DataFrame) -> list[str]:
 def metrics_popularity(spark: SparkSession, folder: str) -> DataFrame:
     """The popularity run on validation and on held-out events."""
     train, validation = written_sides(spark, listens(spark, folder))
-    sets = {"validation": validation, "test": held_out(spark, folder)}
-    result = run_popularity(train, sets, KS, DAMPING, USER_THRESHOLD)
+    sets = {"validation": validation, "test": prepare_test(spark, folder)}
+    result = run_popularity(train, sets, KS, DAMPING, USER_THRESHOLD, counted=True)
     return rounded(result, *_metric_names(result))
 
 
 def metrics_purchases(spark: SparkSession, folder: str) -> DataFrame:
     """The popularity run on purchases, where most items miss the user threshold."""
     train, validation = written_sides(spark, adapters.purchases(spark, folder))
-    result = run_popularity(train, {"validation": validation}, KS, DAMPING, USER_THRESHOLD)
+    sets = {"validation": validation}
+    result = run_popularity(train, sets, KS, DAMPING, USER_THRESHOLD, counted=True)
     return rounded(result, *_metric_names(result))
 
 
 def _full_metrics(train: DataFrame, relevant: DataFrame) -> DataFrame:
     ranking = popularity.popularity_ranking(popular(train))
-    result = metrics.full_ranking_metrics(metrics.relevant_pairs(relevant), ranking, KS)
+    result = metrics.full_ranking_metrics(
+        metrics.relevant_pairs(relevant, counted=True), ranking, KS
+    )
     return rounded(result, *_metric_names(result))
 
 
@@ -394,7 +396,7 @@ def metrics_every_user(spark: SparkSession, folder: str) -> DataFrame:
     """Top-N of each user's own history against held-out repeats; users without one score 0."""
     train, validation = written_sides(spark, listens(spark, folder))
     own = lists.top_n_per_user(train, KS[0]).select(USER, ITEM, POSITION)
-    relevant = metrics.relevant_pairs(prepare.min_plays(validation, PLAY_THRESHOLD))
+    relevant = metrics.relevant_pairs(prepare.min_plays(validation, PLAY_THRESHOLD), counted=True)
     result = metrics.ranking_metrics(relevant, own, KS[:1], users=train)
     return rounded(result, *_metric_names(result))
 
@@ -421,7 +423,7 @@ def split_stability(spark: SparkSession, folder: str) -> DataFrame:
 def _fitted(spark: SparkSession, folder: str):
     train, validation = written_sides(spark, listens(spark, folder))
     train = prepare.min_plays(train, PLAY_THRESHOLD)
-    indexes = fa.train_indexes(train)
+    indexes = factors.written_indexes(fa.train_indexes(train))
     model = fa.fit_factors(fa.index_pairs(train, indexes), GRID[0])
     validation = prepare.min_plays(validation, PLAY_THRESHOLD)
     return model, fa.index_pairs(validation, indexes), indexes

@@ -12,20 +12,22 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorale.columns import ITEM, ITEM_INDEX, PLAYS, USER, USER_INDEX
+from chorale.columns import ITEM_INDEX, PLAYS, USER, USER_INDEX
 from chorale.operators.factors import (
     FactorParams,
     Indexes,
     fit_factors,
     index_pairs,
-    predict,
+    predict_all,
     ranked_rows,
     recommend,
     train_indexes,
 )
 from chorale.operators.metrics import mean_metrics, user_hits
 from chorale.operators.prepare import min_plays
+from chorale.session import scratch_path
 from chorale.sources.schemas import TUNING_RESULTS
+from chorale.sources.tables import write_table
 
 # The hyper-parameter ranges to tune over.
 RANKS = (10, 50, 100, 150, 200)
@@ -63,26 +65,21 @@ def evaluate_factors(
     ``all`` takes every pair, so that unknown users and items count as misses.
     The error is over the known pairs in both cases.
     """
-    predictions = predict(model, indexed)
-    if relevant == "known":
-        pairs = predictions
-    elif relevant == "all":
-        predicted = predictions.select(USER_INDEX, ITEM_INDEX, "prediction")
-        pairs = indexed.join(predicted, [USER_INDEX, ITEM_INDEX], "left")
-    else:
+    if relevant not in ("known", "all"):
         raise ValueError(f"relevant must be 'known' or 'all', not {relevant!r}")
+    scored = predict_all(model, indexed)
+    known = scored.where(F.col("prediction").isNotNull())
     error = F.col(PLAYS).cast("double") - F.col("prediction").cast("double")
     extra = [
         F.sum(error * error).alias("square_error"),
         F.count("prediction").alias("n_predicted"),
     ]
-    ranked = ranked_rows(recommend(model, indexed, k))
-    key = USER_INDEX
-    if relevant == "all":
-        # Unknown users share one number, so here they are told apart by their id.
-        ranked = ranked.join(indexed.select(USER, USER_INDEX).distinct(), USER_INDEX)
-        key = USER
-    per_user = user_hits(pairs, ranked, k, user=key, item=ITEM_INDEX, extra=extra)
+    # Unknown users may share one number, so users are told apart by their id.
+    ranked = ranked_rows(recommend(model, known, k)).join(
+        known.select(USER, USER_INDEX).distinct(), USER_INDEX
+    )
+    pairs = known if relevant == "known" else scored
+    per_user = user_hits(pairs, ranked, k, user=USER, item=ITEM_INDEX, extra=extra)
     errors = ["square_error", "n_predicted"]
     rmse = F.sqrt(F.sum("square_error") / F.nullif(F.sum("n_predicted"), F.lit(0))).alias("rmse")
     return mean_metrics(per_user, [k], keep=errors, extra=[rmse]).select(
@@ -90,6 +87,20 @@ def evaluate_factors(
     )
 
 
+def written_indexes(indexes: Indexes) -> Indexes:
+    """The index tables, written to the shared folder: every later step looks numbers up
+    in them, and none should number the items anew."""
+    spark = indexes.items.sparkSession
+
+    def written(index: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "index")
+        write_table(index, path)
+        return spark.read.parquet(path)
+
+    users = None if indexes.users is None else written(indexes.users)
+    return Indexes(written(indexes.items), users)
+
+
 def tune(
     train: DataFrame,
     validation: DataFrame,
@@ -108,7 +119,7 @@ def tune(
     other metrics when higher.
     """
     kept_train = min_plays(train, play_threshold)
-    indexes = train_indexes(kept_train, index_users)
+    indexes = written_indexes(train_indexes(kept_train, index_users))
     indexed_train = index_pairs(kept_train, indexes).persist(StorageLevel.MEMORY_AND_DISK)
     indexed_validation = index_pairs(min_plays(validation, play_threshold), indexes).persist(
         StorageLevel.MEMORY_AND_DISK

@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorale.operators.metrics import full_ranking_metrics, ranking_metrics, relevant_pairs
-from chorale.operators.popularity import popularity_ranking, popularity_scores, popularity_top
+from chorale.operators.metrics import ranking_metrics, relevant_pairs
+from chorale.operators.popularity import popularity_scores, popularity_top
 
 
 def run_popularity(
@@ -18,32 +18,18 @@ def run_popularity(
     ks: Sequence[int] = (100,),
     damping_factor: float = 200,
     user_threshold: int = 30,
+    counted: bool = False,
 ) -> DataFrame:
-    """MAP, precision, NDCG and recall of the most popular items, one row per set and k."""
+    """MAP, precision, NDCG and recall of the most popular items, one row per set and k.
+
+    ``counted`` says that the evaluation sets hold each (user, item) pair once.
+    """
     scores = popularity_scores(train, damping_factor, user_threshold)
     top = popularity_top(scores, max(ks))
-    return _stack(
-        evaluation_sets, lambda table: ranking_metrics(relevant_pairs(table), top, ks)
-    )
-
-
-def run_popularity_in_full(
-    train: DataFrame,
-    evaluation_sets: dict[str, DataFrame],
-    ks: Sequence[int] = (100,),
-    damping_factor: float = 200,
-    user_threshold: int = 30,
-) -> DataFrame:
-    """The same with AUC and reciprocal rank, for which all scored items are ranked."""
-    ranking = popularity_ranking(popularity_scores(train, damping_factor, user_threshold))
-    return _stack(
-        evaluation_sets, lambda table: full_ranking_metrics(relevant_pairs(table), ranking, ks)
-    )
-
-
-def _stack(evaluation_sets: dict[str, DataFrame], evaluate) -> DataFrame:
     rows = [
-        evaluate(table).withColumn("evaluated_on", F.lit(name))
+        ranking_metrics(relevant_pairs(table, counted=counted), top, ks).withColumn(
+            "evaluated_on", F.lit(name)
+        )
         for name, table in evaluation_sets.items()
     ]
     return reduce(DataFrame.unionByName, rows)
