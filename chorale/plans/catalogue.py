@@ -502,6 +502,11 @@ def compare_models(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def lsh_vs_exact_top_n(spark: SparkSession, folder: str) -> DataFrame:
+    model, validation, _ = _fitted(spark, folder)
+    return comparison.compare_search(model, validation, KS[0])
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -565,6 +570,7 @@ QUERIES: dict[str, Query] = {
         tune_edge_check,
         als_fit_scaling,
         compare_models,
+        lsh_vs_exact_top_n,
     )
 }
 QUERIES["play_counts"] = all_ratings

@@ -9,7 +9,7 @@ import __spark_entry__ as contract
 TABLES = "region nation customer supplier part orders lineitem events".split()
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 # Fitted afresh by each query and covered in test_factors.
-SLOW = {"als_test", "tune_edge_check", "als_fit_scaling", "compare_models", "als_tune"}
+SLOW = {"als_test", "tune_edge_check", "als_fit_scaling", "compare_models", "als_tune", "lsh_vs_exact_top_n"}
 
 
 @pytest.fixture(scope="module")

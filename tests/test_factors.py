@@ -6,6 +6,7 @@ from pyspark.ml.evaluation import RankingEvaluator, RegressionEvaluator
 from pyspark.sql import functions as F
 
 from chorale.operators import factors as fa
+from chorale.operators import nearest
 from chorale.operators.factor_ranks import full_rank_sums
 from chorale.plans import comparison, factors
 
@@ -177,3 +178,38 @@ def test_fit_scaling_and_comparison(ratings):
             assert 0 <= row[name] <= 1
     by = {(r.model, r.side): r for r in rows}
     assert by["factors", "train"].auc > by["popularity", "train"].auc > 0.3
+
+
+@pytest.mark.parametrize("block_rows", [4096, 3])
+def test_hashed_search_finds_the_best_of_each_bucket(monkeypatch, ratings, fitted, block_rows):
+    monkeypatch.setattr(nearest, "ROWS_PER_BLOCK", block_rows)
+    model, indexes = fitted
+    users, items = nearest.hashed_sides(model, fa.index_pairs(ratings, indexes), 2, 0.4)
+    got = nearest.search_hashed(users, items, 4).collect()
+    in_bucket, factors_of = {}, {}
+    for r in items.collect():
+        in_bucket.setdefault((r.table, r.bucket), []).append(r.id)
+        factors_of[r.id] = r.features
+    expected, n_scored = set(), 0
+    candidates, user_factors = {}, {}
+    for r in users.collect():
+        candidates.setdefault(r.id, set()).update(in_bucket.get((r.table, r.bucket), []))
+        n_scored += len(in_bucket.get((r.table, r.bucket), []))
+        user_factors[r.id] = r.features
+    for user, found in candidates.items():
+        score = lambda item: sum(u * i for u, i in zip(user_factors[user], factors_of[item]))
+        for place, item in enumerate(sorted(found, key=lambda i: (-score(i), i))[:4], 1):
+            expected.add((user, item, place))
+    assert {(r.user_index, r.track_id_index, r.pos) for r in got} == expected
+    assert nearest.scored_pairs(users, items).first()[0] == n_scored
+
+
+def test_wide_buckets_find_everything_and_narrow_ones_score_less(ratings, fitted):
+    model, indexes = fitted
+    indexed = fa.index_pairs(ratings, indexes)
+    wide = comparison.compare_search(model, indexed, 5, 1, 1000.0).collect()
+    assert [r.method for r in wide] == ["exact", "hashed"]
+    narrow = comparison.compare_search(model, indexed, 5, 1, 0.2).collect()[1]
+    assert narrow.scored_share < 1.0 and narrow.recall <= 1.0
+    # Buckets this wide have one or two cells, so nearly every pair shares one.
+    assert wide[1].scored_share > narrow.scored_share
