@@ -20,7 +20,7 @@ def prepare(spark: SparkSession, data: Dataset, args: argparse.Namespace) -> Non
 
 
 def popularity(spark: SparkSession, data: Dataset, args: argparse.Namespace) -> None:
-    loaded = loading.prepare(spark, data)
+    loaded = loading.prepare(spark, data, with_test=True)
     train = loaded.pop("train")
     run_popularity(
         train, loaded, [args.top], args.damping, args.min_users, counted=True

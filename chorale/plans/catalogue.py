@@ -502,6 +502,44 @@ def compare_models(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def als_metric_users(spark: SparkSession, folder: str) -> DataFrame:
+    """How many users each reading of the factor metrics is over, and whether they are sound."""
+    found = als_metrics(spark, folder)
+    return found.select("relevant", "n_users", _all_shares(found).alias("is_sound"))
+
+
+def als_tune_points(spark: SparkSession, folder: str) -> DataFrame:
+    """The points of the grid, the users they were measured on, and whether they are sound."""
+    found = als_tune(spark, folder)
+    sound = _all_shares(found) & (F.col("rmse") > 0) & (F.col("fit_seconds") > 0)
+    return found.select("rank", "reg", "alpha", "iterations", "n_users", sound.alias("is_sound"))
+
+
+def als_scaling_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """The sizes of the samples that the fit time is measured on."""
+    found = als_fit_scaling(spark, folder)
+    return found.select("fraction", "n_pairs", (F.col("fit_seconds") > 0).alias("is_sound"))
+
+
+def _all_shares(found: DataFrame) -> Column:
+    names = [name for name in ("map", "precision", "ndcg", "recall") if name in found.columns]
+    return reduce(Column.__and__, [F.col(name).between(0, 1) for name in names])
+
+
+def compare_popularity(spark: SparkSession, folder: str) -> DataFrame:
+    """The popularity half of the comparison: both sides of a random split of the pairs."""
+    kept = prepare.min_plays(_written_ratings(spark, folder), PLAY_THRESHOLD, inclusive=False)
+    train, test = splits.split_random_pairs(kept, 0.2, SEED)
+    scores = popularity.popularity_scores(train, DAMPING, 1)
+    ranking = popularity.popularity_ranking(scores)
+    rows = []
+    for side, pairs in {"train": train, "test": test}.items():
+        relevant = metrics.relevant_pairs(pairs, counted=True)
+        found = metrics.full_ranking_metrics(relevant, ranking, KS[:1])
+        rows.append(found.select(F.lit(side).alias("side"), *comparison.COMPARED))
+    return rounded(reduce(DataFrame.unionByName, rows), *comparison.COMPARED)
+
+
 def lsh_vs_exact_top_n(spark: SparkSession, folder: str) -> DataFrame:
     model, validation, _ = _fitted(spark, folder)
     return comparison.compare_search(model, validation, KS[0])
@@ -570,6 +608,10 @@ QUERIES: dict[str, Query] = {
         tune_edge_check,
         als_fit_scaling,
         compare_models,
+        als_metric_users,
+        als_tune_points,
+        als_scaling_sizes,
+        compare_popularity,
         lsh_vs_exact_top_n,
     )
 }

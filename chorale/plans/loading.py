@@ -28,15 +28,18 @@ def split_ratings(
     return play_counts(tagged, IS_TRAIN)
 
 
-def prepare(spark: SparkSession, data: Dataset, ratio: float = 0.8) -> dict[str, DataFrame]:
-    """The counted tables ``train``, ``validation`` and, for full data, ``test``.
+def prepare(
+    spark: SparkSession, data: Dataset, ratio: float = 0.8, with_test: bool | None = None
+) -> dict[str, DataFrame]:
+    """The counted tables ``train``, ``validation`` and ``test``.
 
-    What is written already is read; the rest is built, written and read.
+    What is written already is read; the rest is built, written and read. Unless
+    told otherwise by ``with_test``, there is a test table for full data only.
     """
     if not is_written(spark, data.split):
         write_split(split_ratings(read_interactions(spark, data.input("interactions")), ratio), data.split)
     tables = {side: load_split(spark, data.split, side) for side in ("train", "validation")}
-    if data.has_test:
+    if data.has_test if with_test is None else with_test:
         materialize(
             spark,
             data.test,

@@ -41,12 +41,12 @@ def bucket(columns: str, seed: int) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) / 4294967296.0"
 
 
-def scores(train: str, name: str = "scores") -> str:
+def scores(train: str, name: str = "scores", threshold: int = c.USER_THRESHOLD) -> str:
     return (
         f"{name} AS (SELECT recording_msid, CAST(sum(play_count) AS BIGINT) AS listen_count,"
         " count(*) AS user_count,"
         f" sum(play_count) / CAST(count(*) + {c.DAMPING} AS DOUBLE) AS avg_listen_per_user"
-        f" FROM {train} GROUP BY recording_msid HAVING count(*) >= {c.USER_THRESHOLD})"
+        f" FROM {train} GROUP BY recording_msid HAVING count(*) >= {threshold})"
     )
 
 
@@ -116,6 +116,14 @@ def full_metrics(split: str, train: str, relevant: str) -> str:
     )
 
 
+def compared(side: str) -> str:
+    columns = '"precision", auc, recall, mrr'
+    return (
+        f"SELECT '{side}' AS side, {columns} FROM (WITH {placed(side)}{FULL}"
+        f" {metrics_at(c.KS[0], 'placed', FULL_COLUMNS)}) AS m"
+    )
+
+
 def labelled(ks, placed_name: str, label: str, column: str) -> str:
     return f"SELECT *, {label} AS {column} FROM ({metrics(ks, placed_name)}) AS m"
 
@@ -147,6 +155,12 @@ KNOWN = f"""{BOTH},
   fitted AS (SELECT * FROM train WHERE play_count >= {THRESHOLD}),
   checked AS (SELECT * FROM validation WHERE play_count >= {THRESHOLD})"""
 
+POINTS = " UNION ALL ".join(
+    f"SELECT CAST({p.rank} AS INTEGER) AS rank, CAST({p.reg} AS DOUBLE) AS reg,"
+    f" CAST({p.alpha} AS DOUBLE) AS alpha, CAST({p.iterations} AS INTEGER) AS iterations"
+    for p in c.GRID
+)
+
 ORACLE: dict[str, str] = {
     "scan_interactions": f"WITH {LISTENS} SELECT {EVENT_COLUMNS} FROM listens",
     "scan_test": f"WITH {HELD_OUT} SELECT {EVENT_COLUMNS} FROM held_out",
@@ -331,4 +345,29 @@ ORACLE: dict[str, str] = {
     WITH {KNOWN}, shown AS (SELECT least({c.KS[0]}, count(DISTINCT recording_msid)) AS n FROM fitted)
     SELECT DISTINCT user_id, n AS n_rows, n AS n_items, CAST(n AS INTEGER) AS last_pos
     FROM checked, shown WHERE user_id IN (SELECT user_id FROM fitted)""",
+    "als_metric_users": f"""
+    WITH {KNOWN}, known AS (SELECT user_id FROM checked
+      WHERE user_id IN (SELECT user_id FROM fitted)
+        AND recording_msid IN (SELECT recording_msid FROM fitted))
+    SELECT 'known' AS relevant, count(DISTINCT user_id) AS n_users, TRUE AS is_sound FROM known
+    UNION ALL SELECT 'all', count(DISTINCT user_id), TRUE FROM checked""",
+    "als_tune_points": f"""
+    WITH {KNOWN}, known AS (SELECT user_id FROM checked
+      WHERE user_id IN (SELECT user_id FROM fitted)
+        AND recording_msid IN (SELECT recording_msid FROM fitted)),
+    points AS ({POINTS})
+    SELECT points.*, (SELECT count(DISTINCT user_id) FROM known) AS n_users, TRUE AS is_sound
+    FROM points""",
+    "als_scaling_sizes": f"WITH {RATINGS} "
+    + " UNION ALL ".join(
+        f"SELECT CAST({share} AS DOUBLE) AS fraction, count(*) AS n_pairs, TRUE AS is_sound"
+        f" FROM ratings WHERE {bucket('user_id, recording_msid', 1)} < {share}"
+        for share in c.FRACTIONS
+    ),
+    "compare_popularity": f"""
+    WITH {RATINGS}, kept AS (SELECT *, {bucket('user_id, recording_msid', c.SEED)} AS drawn
+                             FROM ratings WHERE play_count > {THRESHOLD}),
+    train AS (SELECT * FROM kept WHERE drawn >= 0.2), test AS (SELECT * FROM kept WHERE drawn < 0.2),
+    {scores('train', threshold=1)}, {ranking()}
+    {compared('train')} UNION ALL {compared('test')}""",
 }

@@ -108,7 +108,7 @@ class Dataset:
     """Where the tables of one data set lie. ``variant`` is ``small`` or ``full``.
 
     Inputs are under ``root``, derived tables under ``work``. The small variant
-    has train tables of its own and no test tables.
+    has train tables of its own; the test tables are the same for both.
     """
 
     root: str

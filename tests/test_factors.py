@@ -153,6 +153,8 @@ def test_tuning_keeps_the_best_point_and_reports_all(spark, ratings, validation)
     assert all(r.fit_seconds > 0 and r.evaluate_seconds > 0 for r in rows)
     by_rmse = factors.tune(ratings, validation, grid, 5, 2, select_by="rmse", blocks=2)
     assert by_rmse.best.rank == min(rows, key=lambda r: r.rmse)["rank"]
+    by_index = factors.tune(ratings, validation, grid[:1], 5, 2, index_users=True, blocks=2)
+    assert by_index.results.first().n_users == rows[0].n_users
     test = factors.score_test(tuned, validation, 5, 2).first()
     assert test.map == pytest.approx(best.map) and test.n_users == best.n_users
 
