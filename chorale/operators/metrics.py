@@ -87,25 +87,12 @@ def mean_metrics(
     users for which they are defined. ``extra`` aggregates are taken over the
     users' columns ``keep`` in the same pass.
     """
-    hits, n_relevant = F.col("hits"), F.col("n_relevant")
     names = ["map", "precision", "ndcg", "recall"]
-    per_k = F.array(
-        *[
-            F.struct(
-                F.lit(k).alias("k"),
-                rm.average_precision_at(hits, n_relevant, k).alias("map"),
-                rm.precision_at(hits, k).alias("precision"),
-                rm.ndcg_at(hits, n_relevant, k).alias("ndcg"),
-                rm.recall_at(hits, n_relevant, k).alias("recall"),
-            )
-            for k in ks
-        ]
-    )
+    per_k = F.expr(f"array({', '.join(rm.metrics_at(k) for k in ks)})")
     kept = [F.col(name) for name in keep]
     if n_items is not None:
         per_user = per_user.withColumn("n_items", n_items)
-        auc = rm.auc(F.col("n_ranked"), F.col("position_sum"), F.col("n_items"))
-        kept += [auc.alias("auc"), rm.reciprocal_rank(F.col("first_position")).alias("mrr")]
+        kept += [F.expr(rm.auc()).alias("auc"), F.expr(rm.reciprocal_rank()).alias("mrr")]
         names += ["auc", "mrr"]
     rows = per_user.select(F.explode(per_k).alias("at"), *kept).select(
         "at.*", *keep, *names[4:]
