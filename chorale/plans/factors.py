@@ -193,5 +193,6 @@ def edge_check(results: DataFrame, select_by: str = "map") -> DataFrame:
     return (
         best.select(F.explode(rows).alias("row"))
         .select("row.*")
-        .select("parameter", "chosen", "span.*", ((F.col("span.n_values") > 1) & at_end).alias("on_edge"))
+        .withColumn("on_edge", (F.col("span.n_values") > 1) & at_end)
+        .select("parameter", "chosen", "span.*", "on_edge")
     )

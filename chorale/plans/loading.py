@@ -37,7 +37,8 @@ def prepare(
     told otherwise by ``with_test``, there is a test table for full data only.
     """
     if not is_written(spark, data.split):
-        write_split(split_ratings(read_interactions(spark, data.input("interactions")), ratio), data.split)
+        interactions = read_interactions(spark, data.input("interactions"))
+        write_split(split_ratings(interactions, ratio), data.split)
     tables = {side: load_split(spark, data.split, side) for side in ("train", "validation")}
     if data.has_test if with_test is None else with_test:
         materialize(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chorale.columns import IS_TRAIN, TIME
+from chorale.columns import EVENT, IS_TRAIN, TIME
 from chorale.sources import schemas
 
 SINGLE_FILE_ROWS = 1_000_000
@@ -36,7 +36,8 @@ def read_interactions(spark: SparkSession, path: str) -> DataFrame:
     """An event table. The time may be a timestamp or a number of seconds; an event id
     is taken along where there is one, further columns are never read."""
     found = spark.read.parquet(path)
-    wanted = [f for f in schemas.INTERACTIONS.fields if f.name != "event_id" or f.name in found.columns]
+    optional = {EVENT} - set(found.columns)
+    wanted = [field for field in schemas.INTERACTIONS.fields if field.name not in optional]
     return conform(found, T.StructType(wanted), keep_types=(TIME,))
 
 
@@ -107,6 +108,8 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 class Dataset:
     """Where the tables of one data set lie. ``variant`` is ``small`` or ``full``.
 
+    Fixed values: the file names of the input tables.
+
     Inputs are under ``root``, derived tables under ``work``. The small variant
     has train tables of its own; the test tables are the same for both.
     """
