@@ -95,8 +95,8 @@ def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame])
 
 
 def write_results(results: DataFrame, path: str) -> None:
-    """A small results table as CSV with a header line."""
-    results.write.mode("overwrite").option("header", True).csv(path)
+    """A tuning results table, one row per grid point, as one CSV file with a header line."""
+    results.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

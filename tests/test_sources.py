@@ -27,6 +27,24 @@ def test_only_wanted_columns_are_scanned(spark, tmp_path):
     assert "recording_mbid" not in plan
 
 
+def test_track_and_user_tables(spark, tmp_path, folder):
+    adapters.parts_as_tracks(spark, folder).drop("recording_mbid").write.parquet(f"{tmp_path}/t")
+    adapters.customers_as_users(spark, folder).write.parquet(f"{tmp_path}/u")
+    tracks = tables.read_tracks(spark, f"{tmp_path}/t")
+    assert tracks.schema == schemas.TRACKS and tracks.where("recording_mbid IS NULL").count() == 200
+    users = tables.read_users(spark, f"{tmp_path}/u")
+    assert users.schema == schemas.USERS and users.count() == 150
+
+
+def test_seconds_are_a_time_too(spark, tmp_path):
+    rows = [(1, item, second) for second, item in enumerate("abcde")]
+    spark.createDataFrame(rows, "user_id int, recording_msid string, timestamp int").write.parquet(
+        f"{tmp_path}/events"
+    )
+    counted = loading.split_ratings(tables.read_interactions(spark, f"{tmp_path}/events"))
+    assert [r.recording_msid for r in counted.where("NOT is_train").collect()] == ["e"]
+
+
 def test_materialize_reads_what_is_there(spark, tmp_path):
     path, calls = str(tmp_path / "table"), []
 
