@@ -12,8 +12,9 @@ from chorale.columns import ITEM, ITEM_INDEX, PLAYS, POSITION, USER, USER_INDEX
 from chorale.operators.features import apply_index, frequency_index
 from chorale.session import ensure_checkpoint_dir
 
-# ALS cuts users and items into this many blocks each and works on their product.
-MAX_BLOCKS = 200
+# ALS cuts users and items into so many blocks each and works on their product. The
+# lower bound counts where a cluster reports few cores before it has grown.
+MIN_BLOCKS, MAX_BLOCKS = 8, 200
 
 
 @dataclass(frozen=True)
@@ -66,7 +67,8 @@ def fit_factors(
     """
     spark = indexed.sparkSession
     ensure_checkpoint_dir(spark)
-    n_blocks = blocks or min(MAX_BLOCKS, spark.sparkContext.defaultParallelism)
+    cores = spark.sparkContext.defaultParallelism
+    n_blocks = blocks or max(MIN_BLOCKS, min(MAX_BLOCKS, cores))
     als = ALS(
         rank=params.rank,
         maxIter=params.iterations,
