@@ -5,9 +5,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from chorale.plans import catalogue
+from chorale.plans.oracle import ORACLE
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalogue.QUERIES, ORACLE
 # Fitted afresh by each query and covered in test_factors.
 SLOW = {"als_test", "tune_edge_check", "als_fit_scaling", "compare_models", "als_tune", "lsh_vs_exact_top_n"}
 
@@ -33,6 +35,8 @@ def rows_of(rows, columns):
 
 def test_every_text_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
