@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import chat, decontaminate, licenses, quality, sharding
+from chorale.llm import chat, decontaminate, licenses, quality, sharding, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,12 +69,18 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scanned(_table(spark, folder, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the passages of 35 words or more that stand elsewhere too."""
+    return substrings.report(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_shard_ring": op1_shard_ring,
     "op2_chat_format": op2_chat_format,
     "op3_quality_rules": op3_quality_rules,
     "op4_decontaminate": op4_decontaminate,
     "op7_license_scan": op7_license_scan,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {}
