@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import chat, decontaminate, licenses, quality, sharding, substrings
+from chorale.llm import chat, decontaminate, licenses, near_duplicates, quality, sharding, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,12 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scanned(_table(spark, folder, "documents"))
 
 
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of near copies that each document is in, named by its least id."""
+    docs = near_duplicates.with_node(_table(spark, folder, "documents").select("doc_id", "text"))
+    return near_duplicates.classes(docs).select("doc_id", "class_id", "kept")
+
+
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the passages of 35 words or more that stand elsewhere too."""
     return substrings.report(_table(spark, folder, "documents"))
@@ -80,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_decontaminate": op4_decontaminate,
     "op7_license_scan": op7_license_scan,
+    "op8_near_dedup": op8_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
