@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import chat, decontaminate, licenses, near_duplicates, quality, sharding, substrings
+from chorale.llm import (
+    chat,
+    decontaminate,
+    kneser_ney,
+    licenses,
+    near_duplicates,
+    quality,
+    sharding,
+    substrings,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +73,11 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of all documents by a model of those that aren't held out."""
+    return kneser_ney.report(_table(spark, folder, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and templates in all documents."""
     return licenses.scanned(_table(spark, folder, "documents"))
@@ -85,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op2_chat_format": op2_chat_format,
     "op3_quality_rules": op3_quality_rules,
     "op4_decontaminate": op4_decontaminate,
+    "op5_kneser_ney": op5_kneser_ney,
     "op7_license_scan": op7_license_scan,
     "op8_near_dedup": op8_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
