@@ -12,9 +12,11 @@ length and ``k log k``, not their product.
 Coordinates are joined in bands. At a similarity of 0.8 all of a band's 6 agree with a
 chance of 0.26, so the chance that none of 40 bands does is 5 in a million. Equal texts
 are one node. In each bucket all nodes are compared with one of them, the hub, which
-settles a group of copies without its pairs; only where a bucket then still holds nodes
-of several components are nodes of different ones compared. So no link that a bucket
-holds is lost, and copies are never paired with each other.
+settles a group of copies without its pairs. Only where a bucket then still holds nodes
+of several components are nodes of different ones looked at: sketches of 1024 bits tell
+which of them can be similar enough, and those are compared too. So no link that a bucket
+holds is lost (but for one in a hundred thousand right at the threshold), and texts known
+to be in one component are never paired.
 
 Defined results for odd input: a text of fewer than five words is one run of them all;
 texts without words (null and empty ones too) are near copies of equal texts only; rows
@@ -59,6 +61,7 @@ class Banding:
     bands: int = 40
     rows: int = 6
     threshold: float = 0.8
+    sketch_bits: int = 1024
 
     @property
     def coordinates(self) -> int:
@@ -226,6 +229,65 @@ def _links(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(compare, "a binary, b binary")
 
 
+def _with_hubs(shared: DataFrame) -> DataFrame:
+    """(bucket, node, hub): the hub is the node that meets most others in all its buckets.
+
+    Of a group of copies that is the one closest to the others, often their common source.
+    """
+    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
+    ranked = shared.join(met, "node").select("bucket", "node", "met")
+    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("met", "node")).alias("best"))
+    return ranked.join(hubs, "bucket").select("bucket", "node", F.col("best.node").alias("hub"))
+
+
+def _sketched(texts: DataFrame, bits: int) -> DataFrame:
+    """(node, s0, s1, ...): one bit of each of ``bits`` coordinates, 64 to a number."""
+    names = [f"s{k}" for k in range(bits // 64)]
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 18):
+                words = words_of(part.column("text"), PLAIN, lower=True)
+                values, _ = signatures(*shingles(words), part.num_rows, bits)
+                packed = np.packbits((values >> np.uint64(7) & np.uint64(1)).astype(np.uint8), axis=1)
+                numbers = np.ascontiguousarray(packed).view(np.int64)
+                columns = [pa.array(np.ascontiguousarray(numbers[:, k])) for k in range(len(names))]
+                yield pa.record_batch([part.column("node"), *columns], names=["node", *names])
+
+    return texts.mapInArrow(sketch, "node binary, " + ", ".join(f"{n} long" for n in names))
+
+
+def _across(open_rows: DataFrame, nodes: DataFrame, texts: DataFrame, banding: Banding) -> DataFrame:
+    """Pairs (a, b) of different components in a bucket that may be links and weren't compared.
+
+    Both conditions belong to the join, so that pairs that fail make no rows: a pair is
+    taken in the first band it shares only, and its sketches must differ in no more bits
+    than those of similar texts do (4.2 standard deviations off the mean at the threshold).
+    """
+    bits = banding.sketch_bits
+    least = banding.threshold - 4.2 * math.sqrt(1 - banding.threshold**2) / math.sqrt(bits)
+    own = open_rows.select("node").distinct()
+    # 31 bits of each band's hash are enough to tell bands apart within one pair.
+    low_bits = F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    facts = (
+        nodes.join(own, "node", "left_semi")
+        .select("node", low_bits.alias("bands"))
+        .join(_sketched(texts.join(own, "node", "left_semi"), bits), "node")
+    )
+    rows = open_rows.join(facts, "node").where("node <> hub").drop("hub")
+    one = rows.select("bucket", *[F.col(c).alias(f"a_{c}") for c in rows.columns if c != "bucket"])
+    other = rows.select("bucket", *[F.col(c).alias(f"b_{c}") for c in rows.columns if c != "bucket"])
+    differ = " + ".join(f"bit_count(a_s{k} ^ b_s{k})" for k in range(bits // 64))
+    alike = f"({differ}) <= {math.floor((1 - least) / 2 * bits)}"
+    here = "CAST(o.bucket & 2147483647 AS INT)"
+    first = f"""array_position(a_bands, {here}) = array_position(zip_with(a_bands, b_bands, (x, y) -> x = y), true)"""
+    joined = one.alias("o").join(
+        other.alias("t"),
+        F.expr(f"o.bucket = t.bucket AND a_component < b_component AND {alike} AND {first}"),
+    )
+    return joined.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+
+
 def with_node(docs: DataFrame) -> DataFrame:
     """``docs`` with ``node``, a digest that stands for the text."""
     return docs.withColumn("node", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
@@ -246,13 +308,8 @@ def classes(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
         .checkpoint()
     )
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
-    hubs = (
-        rows.groupBy("bucket")
-        .agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("bucket", "hub")
-    )
-    shared = rows.join(hubs, "bucket").checkpoint()
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = _with_hubs(rows.join(sizes, "bucket").checkpoint()).checkpoint()
     members = shared.select("node").distinct()
     wanted = nodes.join(members, "node", "left_semi").select("node", "first.doc_id").alias("w")
     candidates = docs.select("doc_id", "node", "text").alias("d")
@@ -277,14 +334,7 @@ def classes(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
         .select("bucket")
     )
     open_rows = placed.join(several, "bucket", "left_semi").select("bucket", "hub", "node", "component")
-    left = open_rows.select("bucket", "hub", F.col("node").alias("a"), F.col("component").alias("of_a"))
-    right = open_rows.select("bucket", F.col("node").alias("b"), F.col("component").alias("of_b"))
-    across = (
-        left.join(right, "bucket")
-        .where("of_a < of_b AND a <> hub AND b <> hub")
-        .select("a", "b")
-        .distinct()
-    )
+    across = _across(open_rows.checkpoint(), nodes, texts, banding)
     links = links.unionByName(_links(across, texts, banding.threshold)).checkpoint()
     named = components(links, "a", "b")
     label = nodes.select("node", "first").join(named, "node", "left")
