@@ -42,7 +42,8 @@ END, BEGIN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _PAIR = np.uint64(0xA0761D6478BD642F)
 SHARD_BYTES = 16 << 20
 WORDS_PER_SHARD = 1 << 20
-FLUSH_TOKENS = 4 << 20
+FLUSH_TOKENS = 2 << 20
+SLICE_BYTES = 2 << 20
 # Discounts where the counts of counts can't give any.
 FALLBACK = (0.5, 1.0, 1.5)
 WORD_COLUMNS = ["n", "before", "after", "types", "once", "twice"]
@@ -80,13 +81,14 @@ def _flushed(
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             _, word, before = tokens(part.column("text"))
             held.append((word, before))
             size += len(word)
             if size >= FLUSH_TOKENS:
-                yield count(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                word, before = (np.concatenate(x) for x in zip(*held, strict=True))
                 held, size = [], 0
+                yield count(word, before)
     if held:
         yield count(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
@@ -317,7 +319,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 n_tokens, n_known, base, model_score = model.score(part.column("text"))
                 yield pa.record_batch(
                     [
