@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from chorale.llm import (
     chat,
     decontaminate,
+    html_text,
     kneser_ney,
     licenses,
     near_duplicates,
+    packing,
     quality,
     sharding,
     substrings,
@@ -78,6 +80,11 @@ def op5_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.report(_table(spark, folder, "documents"))
 
 
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of all pages."""
+    return html_text.extracted(_table(spark, folder, "pages"))
+
+
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and templates in all documents."""
     return licenses.scanned(_table(spark, folder, "documents"))
@@ -94,15 +101,22 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.report(_table(spark, folder, "documents"))
 
 
+def op10_pack_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 2048 words without copies or more than two of a source."""
+    return packing.packed(packing.measured(_table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_shard_ring": op1_shard_ring,
     "op2_chat_format": op2_chat_format,
     "op3_quality_rules": op3_quality_rules,
     "op4_decontaminate": op4_decontaminate,
     "op5_kneser_ney": op5_kneser_ney,
+    "op6_html_text": op6_html_text,
     "op7_license_scan": op7_license_scan,
     "op8_near_dedup": op8_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_pack_best_fit": op10_pack_best_fit,
 }
 
 ORACLE: dict[str, str] = {}
