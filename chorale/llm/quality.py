@@ -75,7 +75,7 @@ def _line_fails(rules: LineRules) -> str:
         NOT regexp_like(right(rtrim(line), {ENDING}), '{SENTENCE_END}')
         OR ({marks} >= {rules.menu_marks} AND {marks} > {rules.menu_share} * regexp_count(line, '{WORD}'))
         OR regexp_count(line, '{SYMBOL}') > {rules.symbol_share} * length(line)
-        OR (has_phrase AND {_has_phrase('line')})
+        OR (__has_phrase AND {_has_phrase('line')})
     )"""
 
 
@@ -85,10 +85,10 @@ def _repeated_words() -> str:
     Only a text with a repeat pays for the sort that finds its places. A repeated
     window at ``place`` covers the words that the one before didn't.
     """
-    ordered = "sort_array(transform(windows, (hash, place) -> struct(hash, place)))"
+    ordered = "sort_array(transform(__windows, (hash, place) -> struct(hash, place)))"
     places = f"""sort_array(transform(flatten(transform(array({ordered}), o ->
         filter(o, (x, i) -> get(o, i - 1).hash <=> x.hash OR get(o, i + 1).hash <=> x.hash))), x -> x.place))"""
-    return f"""CASE WHEN size(array_distinct(windows)) < size(windows) THEN aggregate(
+    return f"""CASE WHEN size(array_distinct(__windows)) < size(__windows) THEN aggregate(
         {places}, named_struct('total', 0L, 'last', {-WINDOW}),
         (seen, place) -> named_struct('total', seen.total + least({WINDOW}, place - seen.last), 'last', place),
         seen -> seen.total) ELSE 0L END"""
@@ -99,42 +99,42 @@ def judged(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text")
     ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``n_lines``, ``n_failed_lines``,
     ``kept_chars`` (word characters of the lines that stay), ``base_failed`` and ``kept``."""
     line_chars = f"length(line) - regexp_count(line, '{BLANKS}')"
-    joined = ", ".join(f"get(words, CAST(i + {k} AS INT))" for k in range(WINDOW))
+    joined = ", ".join(f"get(__words, CAST(i + {k} AS INT))" for k in range(WINDOW))
     added = {
-        "words": f"regexp_extract_all(coalesce(`{text}`, ''), '{WORD}', 0)",
-        "has_phrase": _has_phrase(f"coalesce(`{text}`, '')"),
-        "lines": rf"""transform(split(coalesce(`{text}`, ''), '\n'), line -> named_struct('line', line,
+        "__words": f"regexp_extract_all(coalesce(`{text}`, ''), '{WORD}', 0)",
+        "__has_phrase": _has_phrase(f"coalesce(`{text}`, '')"),
+        "__lines": rf"""transform(split(coalesce(`{text}`, ''), '\n'), line -> named_struct('line', line,
             'chars', {line_chars}))""",
     }
     docs = docs.withColumns({k: F.expr(v) for k, v in added.items()})
     docs = docs.withColumns(
         {
-            "windows": F.expr(
-                f"""CASE WHEN size(words) >= {WINDOW} THEN
-                transform(sequence(0, size(words) - {WINDOW}), i -> xxhash64({joined}))
+            "__windows": F.expr(
+                f"""CASE WHEN size(__words) >= {WINDOW} THEN
+                transform(sequence(0, size(__words) - {WINDOW}), i -> xxhash64({joined}))
                 ELSE array(0L) END"""
             ),
-            "lines": F.expr(
-                f"""transform(lines, x -> named_struct('line', x.line, 'chars', x.chars, 'fails',
+            "__lines": F.expr(
+                f"""transform(__lines, x -> named_struct('line', x.line, 'chars', x.chars, 'fails',
                 x.chars > 0 AND get(transform(array(x.line), line -> {_line_fails(rules)}), 0)))"""
             ),
-            "full_lines": F.expr("transform(filter(lines, x -> x.chars > 0), x -> x.line)"),
+            "__full_lines": F.expr("transform(filter(__lines, x -> x.chars > 0), x -> x.line)"),
         }
     )
     found = {
-        "n_words": "CAST(size(words) AS BIGINT)",
-        "word_chars": "aggregate(lines, 0L, (total, x) -> total + x.chars)",
+        "n_words": "CAST(size(__words) AS BIGINT)",
+        "word_chars": "aggregate(__lines, 0L, (total, x) -> total + x.chars)",
         "n_symbols": f"CAST(coalesce(regexp_count(`{text}`, '{SYMBOL}'), 0) AS BIGINT)",
-        "n_dup_lines": "CAST(size(full_lines) - size(array_distinct(full_lines)) AS BIGINT)",
+        "n_dup_lines": "CAST(size(__full_lines) - size(array_distinct(__full_lines)) AS BIGINT)",
         "n_repeat_words": _repeated_words(),
-        "n_lines": "CAST(size(full_lines) AS BIGINT)",
-        "n_failed_lines": "CAST(size(filter(lines, x -> x.fails)) AS BIGINT)",
-        "kept_chars": "aggregate(lines, 0L, (total, x) -> total + IF(x.fails, 0L, x.chars))",
+        "n_lines": "CAST(size(__full_lines) AS BIGINT)",
+        "n_failed_lines": "CAST(size(filter(__lines, x -> x.fails)) AS BIGINT)",
+        "kept_chars": "aggregate(__lines, 0L, (total, x) -> total + IF(x.fails, 0L, x.chars))",
         "clean_text": rf"""CASE WHEN `{text}` IS NOT NULL THEN
-            array_join(transform(filter(lines, x -> NOT x.fails), x -> x.line), '\n') END""",
+            array_join(transform(filter(__lines, x -> NOT x.fails), x -> x.line), '\n') END""",
     }
     docs = docs.withColumns({k: F.expr(v) for k, v in found.items()})
-    docs = docs.drop("words", "has_phrase", "lines", "windows", "full_lines")
+    docs = docs.drop("__words", "__has_phrase", "__lines", "__windows", "__full_lines")
     failed = f"n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeated} * n_words"
     return docs.withColumn("base_failed", F.expr(failed)).withColumn(
         "kept", F.expr(f"NOT base_failed AND kept_chars >= {1 - rules.max_loss} * word_chars")
@@ -146,7 +146,11 @@ def cleaned(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
 
     ``n_chars``, where there is such a column, is the length of the cleaned text.
     """
-    out = judged(docs, rules).where("kept").withColumn("text", F.col("clean_text"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.expr("CAST(length(text) AS BIGINT)"))
-    return out.select(docs.columns)
+    # The row is kept whole beside what is found, so that no name of its columns can clash.
+    whole = docs.select("text", F.struct(*docs.columns).alias("__row"))
+    # Through a generator, so that the filter doesn't take copies of all its parts below them.
+    verdict = F.inline(F.array(F.struct("kept", "clean_text")))
+    changed = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("bigint")}
+    return judged(whole, rules).select("__row", verdict).where("kept").select(
+        *[changed.get(c, F.col("__row").getField(c)).alias(c) for c in docs.columns]
+    )
