@@ -19,6 +19,9 @@ from chorale.llm import (
     sharding,
     substrings,
 )
+from chorale.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,5 +121,3 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_pack_best_fit": op10_pack_best_fit,
 }
-
-ORACLE: dict[str, str] = {}

@@ -135,12 +135,12 @@ def deduplicated(
     docs = docs.drop("n_words", "n_removed")
     names = docs.columns
     place = F.pmod(F.xxhash64(key, "text"), F.lit(n_chunks))
-    dealt = docs.withColumn("chunk", place)
+    dealt = docs.withColumn("__chunk", place)
     counted = "hash long, chunk long, n int"
 
     def count_anchors(rows: pa.Table) -> pa.Table:
         words = words_of(_texts(rows), SPACED, lower=False)
-        return _counted(rows["chunk"][0].as_py(), anchors(words, anchor)[0])
+        return _counted(rows["__chunk"][0].as_py(), anchors(words, anchor)[0])
 
     def count_windows(rows: pa.Table, known: pa.Table) -> pa.Table:
         if not rows.num_rows or not known.num_rows:
@@ -148,7 +148,7 @@ def deduplicated(
         words = words_of(_texts(rows), SPACED, lower=False)
         hashes, at = anchors(words, anchor)
         begin = candidate_windows(words, at[_known(hashes, known)], length)
-        return _counted(rows["chunk"][0].as_py(), windows_at(words.hashes, begin, length))
+        return _counted(rows["__chunk"][0].as_py(), windows_at(words.hashes, begin, length))
 
     added = T.StructType.fromDDL("n_words long, n_removed long")
     schema = T.StructType([*docs.schema.fields, *added.fields])
@@ -172,7 +172,7 @@ def deduplicated(
         return pa.table(left)
 
     # A text's chunk never changes, so the same shuffle of texts serves all three steps.
-    by_chunk = dealt.groupBy("chunk")
+    by_chunk = dealt.groupBy("__chunk")
     again = _found_again(by_chunk.applyInArrow(count_anchors, counted))
     windows = by_chunk.cogroup(again.groupBy("chunk")).applyInArrow(count_windows, counted)
     again = _found_again(windows)

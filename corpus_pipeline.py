@@ -28,9 +28,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that stand twice are cut; a document that was nothing else goes."""
-    left = substrings.deduplicated(docs).where("n_removed = 0 OR n_removed < n_words")
-    n_chars = F.expr("CAST(length(text) AS BIGINT)")
-    return left.withColumn("n_chars", n_chars).select(docs.columns)
+    # Own names for what is found, so that no column of the documents is replaced.
+    aside = {c: f"__{c}" for c in ("n_words", "n_removed")}
+    left = substrings.deduplicated(docs.withColumnsRenamed(aside))
+    left = left.where("n_removed = 0 OR n_removed < n_words").drop(*aside)
+    left = left.withColumnsRenamed({v: k for k, v in aside.items()})
+    return left.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
