@@ -34,6 +34,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chorale.session import ship_package
+
 # Strings that chat templates use as controls; all are escaped in texts.
 CONTROLS = ["<|im_start|>", "<|im_end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 OPEN, CLOSE = CONTROLS[:2]
@@ -139,6 +141,8 @@ def read_back(parts: DataFrame) -> DataFrame:
     they come and keeps no more than the two running digests.
     """
 
+    ship_package(parts.sparkSession)
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, state = None, None
 

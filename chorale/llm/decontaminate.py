@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chorale.llm.words import PLAIN, Words, slices, words_of
+from chorale.session import ship_package
 
 LENGTH = 10
 BLOCK_WORDS = 2_000_000
@@ -199,6 +200,7 @@ def marked(
     docs: DataFrame, items: DataFrame, length: int = LENGTH, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit`` (words inside occurrences) and ``items`` (ids, sorted)."""
+    ship_package(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     blocks = [
         context.broadcast(with_prefixes(block, docs)) for block in blocks_of(items, length, block_words)

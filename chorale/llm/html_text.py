@@ -31,6 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from chorale.llm.page_labels import PAGES
+from chorale.session import ship_package
 
 # Elements by kind.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "template", "svg", "math"}
@@ -255,6 +256,8 @@ def main_text(page: str | None) -> str:
 def extracted(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
 
+    ship_package(pages.sparkSession)
+
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [main_text(page) for page in batch["html"]]

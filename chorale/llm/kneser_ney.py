@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chorale.llm.words import SPACED, mixed, slices, words_of
-from chorale.session import ensure_checkpoint_dir, scratch_path
+from chorale.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 # What stands for a text's end and for the place before its first word.
 END, BEGIN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -289,6 +289,7 @@ def fit(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> Model:
     """Counts the texts of ``docs`` and writes the model under the shared folder."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     folder = _mounted(scratch_path(spark, "kneser-ney"))
     os.makedirs(folder, exist_ok=True)
     n_bytes = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
@@ -315,6 +316,7 @@ def fit(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> Model:
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (``doc_id``, ``text`` and others) without the text, with the scores."""
+    ship_package(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("text", "n_tokens", "n_known", "base_score", "score")]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from chorale.llm.components import components
 from chorale.llm.words import PLAIN, Words, mixed, slices, windows_at, words_of
-from chorale.session import ensure_checkpoint_dir
+from chorale.session import ensure_checkpoint_dir, ship_package
 
 SHINGLE = 5
 # Odd numbers that keep the hashes of weights, ranks, darts and bands apart.
@@ -300,6 +300,7 @@ def classes(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     for the texts of those that share a bucket.
     """
     ensure_checkpoint_dir(docs.sparkSession)
+    ship_package(docs.sparkSession)
     signed = _signed(docs, banding)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
     nodes = (
@@ -349,8 +350,14 @@ def classes(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
 def deduplicated(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     """One document of each class, with all its columns."""
     keyed = with_node(docs.select("doc_id", "text"))
-    kept = classes(keyed, banding).where("kept").select("doc_id", "node").distinct().alias("k")
-    all_docs = docs.withColumn("__node", F.unhex(F.md5(F.coalesce("text", F.lit(""))))).alias("d")
-    same = (F.col("d.__node") == F.col("k.node")) & F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
-    one = all_docs.join(kept, same).dropDuplicates(["__node"])
-    return one.select(*[F.col(f"d.{c}") for c in docs.columns])
+    kept = classes(keyed, banding).where("kept")
+    # Plain equality on columns without nulls, the same for join and duplicates, so that
+    # texts are shuffled once.
+    keys = {
+        "__node": F.unhex(F.md5(F.coalesce("text", F.lit("")))),
+        "__id": F.coalesce(F.col("doc_id"), F.lit(0)),
+        "__no_id": F.col("doc_id").isNull(),
+    }
+    one = kept.select(F.col("node").alias("__node"), *[v.alias(k) for k, v in keys.items() if k != "__node"])
+    found = docs.withColumns(keys).join(one.distinct(), list(keys)).dropDuplicates(list(keys))
+    return found.select(docs.columns)

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chorale.session import ship_package
+
 WORD = r"[^\\x20\\x09-\\x0D]+"
 
 
@@ -129,6 +131,7 @@ def packed(rows: DataFrame, packing: Packing = Packing()) -> DataFrame:
     ``rows`` has ``doc_id`` (a whole number), ``source``, ``cluster`` and ``n_words``. They
     are counted first, to know the number of groups.
     """
+    ship_package(rows.sparkSession)
     n_groups = max(1, math.ceil(rows.count() / packing.group_rows))
     group = F.pmod(F.xxhash64("doc_id", "cluster", "source"), F.lit(n_groups))
     dealt = rows.select(

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chorale.session import ship_package
+
 # Copies of one row are written out in runs of this length.
 RUN = 100_000
 
@@ -106,6 +108,7 @@ def assigned(rows: DataFrame, keys: list[str], ring: Ring) -> DataFrame:
     ``keys`` together decide a row's slot on the ring. Take enough of them that no value
     is shared by very many different rows.
     """
+    ship_package(rows.sparkSession)
     slot = F.pmod(F.xxhash64(*keys), F.lit(ring.slots)).alias("ring_slot")
     distinct = rows.select(slot, *keys).groupBy("ring_slot", *keys).agg(F.count(F.lit(1)).alias("copies"))
     in_slot = Window.partitionBy("ring_slot").orderBy(*keys)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chorale.llm.words import SPACED, Words, utf8_parts, windows_at, words_of
+from chorale.session import ship_package
 
 LENGTH = 35
 CHUNK_BYTES = 4 << 20
@@ -130,6 +131,7 @@ def deduplicated(
     """
     if length < PERIOD:
         raise ValueError(f"windows must have {PERIOD} words or more")
+    ship_package(docs.sparkSession)
     anchor = length - PERIOD + 1
     n_chunks = max(1, math.ceil(text_bytes(docs) / chunk_bytes))
     docs = docs.drop("n_words", "n_removed")
