@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -12,9 +13,9 @@ from chorale.columns import ITEM, ITEM_INDEX, PLAYS, POSITION, USER, USER_INDEX
 from chorale.operators.features import apply_index, frequency_index
 from chorale.session import ensure_checkpoint_dir
 
-# ALS cuts users and items into so many blocks each and works on their product. The
-# lower bound counts where a cluster reports few cores before it has grown.
-MIN_BLOCKS, MAX_BLOCKS = 8, 200
+# ALS cuts users and items into blocks and works on the product of both, so that many
+# pairs lie in one block of that product. A task holds a row of the product.
+PAIRS_PER_BLOCK = 10_000
 
 
 @dataclass(frozen=True)
@@ -35,10 +36,10 @@ class Indexes:
     users: DataFrame | None = None
 
 
-def train_indexes(train: DataFrame, index_users: bool = False) -> Indexes:
-    """Item index, and user index if wanted, by number of train pairs.
+def train_indexes(train: DataFrame, index_users: bool = True) -> Indexes:
+    """Item index and user index by number of train pairs.
 
-    User ids beyond the int range need an index, since the model takes ints.
+    The model takes ints. Without a user index, user ids must be ints themselves.
     """
     users = frequency_index(train, USER, USER_INDEX) if index_users else None
     return Indexes(frequency_index(train), users)
@@ -53,7 +54,11 @@ def index_pairs(ratings: DataFrame, indexes: Indexes) -> DataFrame:
     """
     numbered = apply_index(ratings.select(USER, ITEM, PLAYS), indexes.items)
     if indexes.users is None:
-        return numbered.withColumn(USER_INDEX, F.col(USER).cast("int"))
+        # An id out of range is an error in every session; a cast would wrap where ANSI mode is off.
+        too_large = F.raise_error(F.concat(F.lit("user id is no int: "), F.col(USER).cast("string")))
+        fits = F.col(USER).isNull() | F.col(USER).between(-(1 << 31), (1 << 31) - 1)
+        own = F.when(fits, F.col(USER)).otherwise(too_large.cast("bigint"))
+        return numbered.withColumn(USER_INDEX, own.cast("int"))
     return apply_index(numbered, indexes.users, USER, USER_INDEX)
 
 
@@ -63,12 +68,13 @@ def fit_factors(
     """Fit non-negative implicit ALS; unknown users and items get no prediction.
 
     The checkpoint folder lets ALS cut its lineage every ten iterations, so a
-    lost executor costs only the iterations since then.
+    lost executor costs only the iterations since then. Unless ``blocks`` is given, the
+    pairs are counted first, and the number of blocks grows as the root of that count.
     """
-    spark = indexed.sparkSession
-    ensure_checkpoint_dir(spark)
-    cores = spark.sparkContext.defaultParallelism
-    n_blocks = blocks or max(MIN_BLOCKS, min(MAX_BLOCKS, cores))
+    ensure_checkpoint_dir(indexed.sparkSession)
+    # Factors start from random numbers per block: the number must come from the data, or
+    # another cluster would get another model.
+    n_blocks = blocks or max(1, math.isqrt(indexed.count() // PAIRS_PER_BLOCK))
     als = ALS(
         rank=params.rank,
         maxIter=params.iterations,

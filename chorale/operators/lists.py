@@ -7,24 +7,24 @@ from pyspark.sql import functions as F
 
 from chorale.columns import ITEM, PLAYS, POSITION, USER
 from chorale.operators.metrics import relevant_pairs
+from chorale.operators.skew import POSITION as KEY_POSITION
+from chorale.operators.skew import with_positions
+
+# So many first characters of an item put it into a slice of its user's list.
+SLICE_CHARS = 8
 
 
 def relevant_lists(df: DataFrame, list_rows: int = 100_000) -> DataFrame:
-    """(user, part, actual): each user's items as one sorted list, part 0.
+    """(user, part, actual): each user's items in order, ``list_rows`` to a part from 0.
 
-    A list does not grow without bound: the items of a user who has more than
-    ``list_rows`` are dealt by hash into several parts of about that length.
+    A list does not grow without bound; the parts joined in order are the list.
     """
     pairs = relevant_pairs(df)
-    long_lists = (
-        pairs.groupBy(USER)
-        .agg(F.count(F.lit(1)).alias("n_items"))
-        .where(F.col("n_items") > list_rows)
-        .select(USER, F.ceil(F.col("n_items") / F.lit(list_rows)).alias("parts"))
-    )
-    part = F.pmod(F.xxhash64(ITEM), F.coalesce("parts", F.lit(1))).alias("part")
-    dealt = pairs.join(long_lists, USER, "left").select(USER, ITEM, part)
-    return dealt.groupBy(USER, "part").agg(F.array_sort(F.collect_list(ITEM)).alias("actual"))
+    first_letters = F.substring(ITEM, 1, SLICE_CHARS)
+    placed = with_positions(pairs, [USER], [ITEM], first_letters, distinct=True)
+    part = F.floor((F.col(KEY_POSITION) - 1) / list_rows).alias("part")
+    lists = placed.groupBy(USER, part).agg(F.array_sort(F.collect_list(ITEM)).alias("actual"))
+    return lists.select(USER, "part", "actual")
 
 
 def top_n_per_user(ratings: DataFrame, top_n: int) -> DataFrame:

@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from chorale.columns import ITEM, PLAYS, POSITION, USER
 from chorale.functions import ranking_metrics as rm
 
-# A ranking cut at this many places or fewer is broadcast: its size is the cut.
-BROADCAST_PLACES = 100_000
-
 
 def relevant_pairs(
     df: DataFrame, user: str = USER, item: str = ITEM, counted: bool = False
@@ -48,8 +45,6 @@ def user_hits(
     """
     personal = user in ranking.columns
     used = ranking if whole_ranking else ranking.where(F.col(POSITION) <= k)
-    if not personal and not whole_ranking and k <= BROADCAST_PLACES:
-        used = F.broadcast(used)
     joined = relevant.join(used, [user, item] if personal else [item], "left")
     place = F.col(POSITION)
     found = [

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chorale.columns import ITEM, PLAYS, USER
 from chorale.functions.hashing import unit_hash
-from chorale.operators.skew import DEFAULT_RULE, HotRule, with_key_rows
+from chorale.operators.skew import with_key_rows
 
 
 def clean_interactions(df: DataFrame, drop: tuple[str, ...] = ("recording_mbid",)) -> DataFrame:
@@ -28,9 +28,9 @@ def play_counts(df: DataFrame, *also_by: str) -> DataFrame:
     return df.groupBy(*also_by, USER, ITEM).agg(F.count(F.lit(1)).alias(PLAYS))
 
 
-def with_play_count(df: DataFrame, rule: HotRule = DEFAULT_RULE) -> DataFrame:
+def with_play_count(df: DataFrame) -> DataFrame:
     """Every event with the play count of its (user, item) pair."""
-    return with_key_rows(df, [USER, ITEM], PLAYS, rule).na.fill(0, subset=[PLAYS])
+    return with_key_rows(df, [USER, ITEM], PLAYS).na.fill(0, subset=[PLAYS])
 
 
 def min_plays(ratings: DataFrame, plays: int, inclusive: bool = True) -> DataFrame:
@@ -53,12 +53,20 @@ def distinct_items(df: DataFrame) -> DataFrame:
 
 
 def profile(ratings: DataFrame) -> DataFrame:
-    """One row: number of rows, users and items, and the greatest play count."""
-    return ratings.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct(USER).alias("n_users"),
-        F.count_distinct(ITEM).alias("n_items"),
-        F.max(PLAYS).alias("max_play_count"),
+    """One row: number of rows, users and items, and the greatest play count.
+
+    Users and items are counted from a grouping each; two distinct counts in one
+    aggregation would write every pair out twice.
+    """
+    by_user = ratings.groupBy(USER).agg(
+        F.count(F.lit(1)).alias("n"), F.max(PLAYS).alias("max_play_count")
+    )
+    n_items = ratings.select(ITEM).distinct().agg(F.count(ITEM).alias("n")).scalar()
+    return by_user.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.count(USER).alias("n_users"),
+        n_items.alias("n_items"),
+        F.max("max_play_count").alias("max_play_count"),
     )
 
 

@@ -1,17 +1,14 @@
 """Row positions and counts per key that survive keys with too many rows.
 
-A window function puts all rows of its partition key into one task, and
-adaptive execution does not split that. So the rows of hot keys take another
-way here: they are spread over pieces of the key's sort order, counted per
-piece, and numbered inside each piece. The result is the same as the window's.
-Looking for hot keys runs a small job over the table that is handed in, so hand
-in a scan or a written table rather than the end of a long lineage.
+A window function puts all rows of its partition key into one task, and adaptive
+execution does not split that. Here a key's rows are dealt out by key and slice, a
+coarse part of their sort order such as the day: they are numbered inside the slice, and
+the few slices of a key are summed up in order. The way is the same for all keys, the
+rows are read and shuffled once, and no job runs before the result is asked for.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,90 +19,77 @@ KEY_ROWS = "key_rows"
 
 # Copies of one row are written out in runs of this length.
 COPY_RUN = 100_000
+# Seconds of a day, and how many characters name one in a text.
+DAY_SECONDS, DAY_CHARS = 86_400, 10
 
 
-@dataclass(frozen=True)
-class HotRule:
-    """The hot keys are the ``most`` largest ones among those above ``floor`` rows.
+def with_key_rows(df: DataFrame, keys: list[str], name: str = KEY_ROWS) -> DataFrame:
+    """Every row with the number of rows that share its keys. Keys must not be null.
 
-    So whatever the data, a table of hot keys has a fixed size bound, and every
-    other key holds at most ``floor`` rows or one ``most``-th of all rows.
+    Counts are combined before their shuffle and joined back, and adaptive execution
+    splits the rows of a hot key in that join.
     """
-
-    floor: int = 1_000_000
-    most: int = 10_000
-    pieces_per_limit: int = 4
-
-
-DEFAULT_RULE = HotRule()
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return df.join(sizes, keys, "left").select(*df.columns, name)
 
 
-def find_hot_keys(
-    df: DataFrame, keys: list[str], rule: HotRule = DEFAULT_RULE
-) -> DataFrame | None:
-    """The hot keys with ``key_rows`` and the number of ``pieces`` to cut them into.
-
-    None where no key is hot. Runs one job that reads the key columns only and
-    brings at most ``rule.most`` rows to the driver; deciding this before the
-    plan is built keeps the usual plan as small as the plain window's. The pieces
-    of all keys together are at most ``(pieces_per_limit + 1) * most``.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(KEY_ROWS))
-    largest = sizes.where(F.col(KEY_ROWS) > rule.floor).orderBy(F.desc(KEY_ROWS)).limit(rule.most)
-    rows = largest.collect()
-    if not rows:
-        return None
-    limit = max(float(rule.floor), sum(row[KEY_ROWS] for row in rows) / rule.most)
-    pieces = F.ceil(F.col(KEY_ROWS) * F.lit(rule.pieces_per_limit) / F.lit(limit))
-    return df.sparkSession.createDataFrame(rows, largest.schema).withColumn("pieces", pieces)
-
-
-def with_key_rows(
-    df: DataFrame, keys: list[str], name: str = KEY_ROWS, rule: HotRule = DEFAULT_RULE
-) -> DataFrame:
-    """Every row with the number of rows that share its keys. Keys must not be null."""
-    counted = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    hot = find_hot_keys(df, keys, rule)
-    if hot is None:
-        return df.withColumn(name, counted)
-    hot = F.broadcast(hot.select(*keys, F.col(KEY_ROWS).alias(name)))
-    usual = df.join(hot, keys, "left_anti").withColumn(name, counted)
-    heavy = df.join(hot, keys, "inner")
-    columns = [*df.columns, name]
-    return usual.select(*columns).unionByName(heavy.select(*columns))
+def day_of(df: DataFrame, column: str) -> Column:
+    """The day of a time, given as a timestamp, a date, a number of seconds or ISO text."""
+    kind = dict(df.dtypes)[column]
+    if kind.startswith("timestamp") or kind == "date":
+        return F.to_date(column)
+    if kind == "string":
+        return F.substring(column, 1, DAY_CHARS)
+    return F.floor(F.col(column) / DAY_SECONDS)
 
 
 def with_positions(
-    df: DataFrame, keys: list[str], order: list[str], rule: HotRule = DEFAULT_RULE
+    df: DataFrame, keys: list[str], order: list[str], slice_by: Column, distinct: bool = False
 ) -> DataFrame:
     """Every row with its ``position`` (from 1) among its key's rows, and ``key_rows``.
 
-    Rows are ordered by ``order`` ascending and then by all other columns, so
-    that only rows equal in every column are interchangeable. Keys must not be
-    null, and all columns must be of a type that can be sorted.
+    Rows are ordered by ``order`` ascending and then by all other columns, so that only
+    rows equal in every column are interchangeable; those are counted before the shuffle,
+    unless ``distinct`` says that there are none. ``slice_by`` must not fall where
+    ``order`` rises. Keys must not be null, and all columns must be of a sortable type.
     """
     columns = df.columns
     full_order = [*order, *[c for c in columns if c not in order and c not in keys]]
-    out = [*columns, POSITION, KEY_ROWS]
-    hot = find_hot_keys(df, keys, rule)
-    if hot is None:
-        return _positions_by_window(df, keys, full_order).select(*out)
-    usual = df.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    heavy = df.join(F.broadcast(hot), keys, "inner")
+    sliced = df.withColumn("slice", slice_by)
+    if distinct:
+        counted = sliced.withColumn("copies", F.lit(1).cast("bigint"))
+    else:
+        counted = sliced.groupBy(*columns, "slice").agg(F.count(F.lit(1)).alias("copies"))
+    in_slice = Window.partitionBy(*keys, "slice").orderBy(*full_order)
+    up_to_here = in_slice.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = counted.withColumn("last", F.sum("copies").over(up_to_here))
+    # The sizes come from the numbered rows, whose shuffle is then used twice.
+    sizes = numbered.groupBy(*keys, "slice").agg(F.max("last").alias("slice_rows"))
+    per_key = Window.partitionBy(*keys)
+    starts = sizes.select(
+        *keys,
+        "slice",
+        _sum_of_earlier("slice_rows", per_key.orderBy("slice")).alias("before"),
+        F.sum("slice_rows").over(per_key).alias(KEY_ROWS),
+    )
+    same = [F.col(f"n.{k}") == F.col(f"s.{k}") for k in keys]
+    # A time may be null, so may its slice.
+    placed = numbered.alias("n").join(
+        starts.alias("s"), [*same, F.col("n.slice").eqNullSafe(F.col("s.slice"))]
+    )
+    last = (F.col("before") + F.col("last")).alias("last")
+    out = placed.select(*[f"n.{c}" for c in columns], KEY_ROWS, "copies", last)
+    if distinct:
+        return out.select(*columns, F.col("last").alias(POSITION), KEY_ROWS)
+    runs = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / COPY_RUN))
+    copies = F.sequence(F.col("run") * COPY_RUN, F.least("copies", (F.col("run") + 1) * COPY_RUN) - 1)
     return (
-        _positions_by_window(usual, keys, full_order)
-        .select(*out)
-        .unionByName(_positions_in_pieces(heavy, keys, full_order, columns).select(*out))
+        out.withColumn("run", F.explode(runs))
+        .withColumn("copy", F.explode(copies))
+        .select(*columns, (F.col("last") - F.col("copy")).alias(POSITION), KEY_ROWS)
     )
 
 
-def _positions_by_window(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    per_key = Window.partitionBy(*keys)
-    return df.withColumn(
-        POSITION, F.row_number().over(per_key.orderBy(*order)).cast("bigint")
-    ).withColumn(KEY_ROWS, F.count(F.lit(1)).over(per_key))
-
-
 def with_global_positions(
     df: DataFrame, order: list[str], pieces: int | None = None
 ) -> DataFrame:
@@ -119,7 +103,7 @@ def with_global_positions(
         pieces = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*order)
     bounds = (
-        _spread_picks(df, [], F.lit(pieces), order)
+        _spread_picks(df, F.lit(pieces), order)
         .agg(F.array_sort(F.collect_list("pick")).alias("bounds"))
         .scalar()
     )
@@ -145,8 +129,8 @@ def with_global_positions(
     )
 
 
-def _spread_picks(df: DataFrame, keys: list[str], pieces: Column, order: list[str]) -> DataFrame:
-    """About ``pieces`` rows' sort keys per key, as ``pick``.
+def _spread_picks(df: DataFrame, pieces: Column, order: list[str]) -> DataFrame:
+    """About ``pieces`` rows' sort keys, as ``pick``.
 
     The rows are dealt into slots by hash and the one with the least second hash
     is taken from each slot. So the picks are spread like the rows, depend on
@@ -154,54 +138,9 @@ def _spread_picks(df: DataFrame, keys: list[str], pieces: Column, order: list[st
     """
     slot = F.pmod(F.xxhash64(*order), pieces).alias("slot")
     chance = F.xxhash64(F.lit("pick"), *order)
-    return df.groupBy(*keys, slot).agg(F.min_by(F.struct(*order), chance).alias("pick"))
+    return df.groupBy(slot).agg(F.min_by(F.struct(*order), chance).alias("pick"))
 
 
 def _sum_of_earlier(name: str, ordered: Window) -> Column:
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(name).over(earlier), F.lit(0))
-
-
-def _positions_in_pieces(
-    heavy: DataFrame, keys: list[str], order: list[str], columns: list[str]
-) -> DataFrame:
-    """Positions for the rows of hot keys; equal rows are counted first and written out last."""
-    distinct = heavy.groupBy(*columns, KEY_ROWS, "pieces").agg(F.count(F.lit(1)).alias("copies"))
-    bounds = (
-        _spread_picks(distinct, [*keys, "pieces"], F.col("pieces"), order)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list("pick")).alias("bounds"))
-    )
-    placed = (
-        distinct.join(F.broadcast(bounds), keys)
-        .withColumn("piece", count_at_most(F.col("bounds"), F.struct(*order)))
-        .drop("bounds", "pieces")
-    )
-    per_key = Window.partitionBy(*keys).orderBy("piece")
-    before = (
-        placed.groupBy(*keys, "piece")
-        .agg(F.sum("copies").alias("piece_rows"))
-        .withColumn("before", _sum_of_earlier("piece_rows", per_key))
-        .select(*keys, "piece", "before")
-    )
-    per_piece = Window.partitionBy(*keys, "piece").orderBy(*order)
-    started = (
-        placed.withColumn("inside", _sum_of_earlier("copies", per_piece))
-        .join(F.broadcast(before), [*keys, "piece"], "left")
-        .withColumn("start", F.col("before") + F.col("inside"))
-        .select(*columns, KEY_ROWS, "copies", "start")
-    )
-    few = started.where(F.col("copies") <= COPY_RUN).withColumn("run", F.lit(0).cast("bigint"))
-    last_run = F.floor((F.col("copies") - 1) / COPY_RUN)
-    many = (
-        started.where(F.col("copies") > COPY_RUN)
-        .withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
-        .repartition(*columns, "run")
-    )
-    first = F.col("run") * COPY_RUN + 1
-    last = F.least(F.col("copies"), (F.col("run") + 1) * COPY_RUN)
-    return (
-        few.unionByName(many)
-        .withColumn("copy", F.explode(F.sequence(first, last)))
-        .withColumn(POSITION, F.col("start") + F.col("copy"))
-    )

@@ -5,23 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorale.columns import IS_TRAIN, ITEM, TIME, USER
+from chorale.columns import EVENT, IS_TRAIN, ITEM, TIME, USER
 from chorale.functions.hashing import unit_hash
 from chorale.operators.prepare import clean_interactions, play_counts
-from chorale.operators.skew import DEFAULT_RULE, KEY_ROWS, POSITION, HotRule, with_positions
+from chorale.operators.skew import KEY_ROWS, POSITION, day_of, with_positions
 
 
-def tag_by_user_time(
-    df: DataFrame, ratio: float = 0.8, rule: HotRule = DEFAULT_RULE
-) -> DataFrame:
+def tag_by_user_time(df: DataFrame, ratio: float = 0.8) -> DataFrame:
     """Every event with ``is_train``: true for the earliest ``ratio`` of its user's events.
 
     The number of train events of a user is rounded down, so a user with one
     event has it in validation. Equal times are ordered by item and then by the
-    remaining columns. Events without a user belong to neither side.
+    remaining columns. Events without a user belong to neither side. Tables with event
+    ids hold no row twice.
     """
     known = df.where(F.col(USER).isNotNull())
-    placed = with_positions(known, [USER], [TIME, ITEM], rule)
+    placed = with_positions(known, [USER], [TIME, ITEM], day_of(known, TIME), EVENT in df.columns)
     threshold = F.floor(F.col(KEY_ROWS) * F.lit(ratio)).cast("bigint")
     return placed.withColumn(IS_TRAIN, F.col(POSITION) <= threshold).drop(POSITION, KEY_ROWS)
 
@@ -34,12 +33,10 @@ def validation_side(tagged: DataFrame) -> DataFrame:
     return tagged.where(~F.col(IS_TRAIN)).drop(IS_TRAIN)
 
 
-def split_by_user_time(
-    df: DataFrame, ratio: float = 0.8, rule: HotRule = DEFAULT_RULE
-) -> tuple[DataFrame, DataFrame]:
+def split_by_user_time(df: DataFrame, ratio: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(train, validation) events. Where both sides are needed more than once, write
     the tagged table instead (``chorale.plans.loading``), so that it is sorted once."""
-    tagged = tag_by_user_time(df, ratio, rule)
+    tagged = tag_by_user_time(df, ratio)
     return train_side(tagged), validation_side(tagged)
 
 

@@ -18,6 +18,7 @@ from chorale.columns import (
     POSITION,
     TIME,
     USER,
+    USER_INDEX,
 )
 from chorale.operators import factors as fa
 from chorale.operators import features, lists, metrics, popularity, prepare, splits
@@ -37,6 +38,7 @@ KS = (10, 100)
 SEED = 7
 SEEDS = (1, 2, 3)
 SAMPLE = 0.1
+LIST_ROWS = 20
 FRACTIONS = (0.25, 0.5, 1.0)
 GRID = factors.parameter_grid([4, 8], [0.05], [0.1, 1.0], [5])
 
@@ -48,6 +50,11 @@ def listens(spark: SparkSession, folder: str) -> DataFrame:
     return adapters.events_as_listens(spark, folder)
 
 
+def learned(spark: SparkSession, folder: str) -> DataFrame:
+    """The listens before the held-out ones: what is split into train and validation."""
+    return listens(spark, folder).where(F.col(TIME) < F.lit(TEST_FROM).cast("timestamp_ntz"))
+
+
 def held_out(spark: SparkSession, folder: str) -> DataFrame:
     return listens(spark, folder).where(F.col(TIME) >= F.lit(TEST_FROM).cast("timestamp_ntz"))
 
@@ -65,7 +72,7 @@ def dirty(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return splits.split_by_user_time(listens(spark, folder))
+    return splits.split_by_user_time(learned(spark, folder))
 
 
 def train_ratings(spark: SparkSession, folder: str) -> DataFrame:
@@ -145,7 +152,7 @@ def conform_ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_read_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    train, validation = written_sides(spark, listens(spark, folder))
+    train, validation = written_sides(spark, learned(spark, folder))
     return train.withColumn("side", F.lit("train")).unionByName(
         validation.withColumn("side", F.lit("validation"))
     )
@@ -153,7 +160,7 @@ def write_read_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def single_file_sample(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "sample")
-    tables.write_single_file(sample_hash(spark, folder), path)
+    tables.write_files(sample_hash(spark, folder), path)
     written = spark.read.parquet(path)
     files = written.select(F.input_file_name().alias("file"))
     n_files = files.agg(F.count_distinct("file").alias("n_files")).scalar()
@@ -167,6 +174,48 @@ def materialize_hit(spark: SparkSession, folder: str) -> DataFrame:
     return tables.materialize(spark, path, lambda: train_ratings(spark, folder))
 
 
+def _dataset(spark: SparkSession, folder: str) -> tables.Dataset:
+    """The given tables written in the layout of the inputs, and a place for derived ones."""
+    data = tables.Dataset(scratch_path(spark, "inputs"), scratch_path(spark, "derived"))
+    tables.write_table(learned(spark, folder), data.input("interactions"))
+    tables.write_table(held_out(spark, folder), data.input("interactions", "test"))
+    tables.write_table(adapters.parts_as_tracks(spark, folder), data.input("tracks"))
+    tables.write_table(adapters.customers_as_users(spark, folder), data.input("users"))
+    return data
+
+
+def read_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    path = _dataset(spark, folder).input("interactions")
+    return tables.read_interactions(spark, path).select(USER, ITEM, shown(), EVENT)
+
+
+def read_tracks(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.read_tracks(spark, _dataset(spark, folder).input("tracks"))
+
+
+def read_users(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.read_users(spark, _dataset(spark, folder).input("users"))
+
+
+def prepared_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Train, validation and test as the loading plan makes them, and finds them the next time."""
+    data = _dataset(spark, folder)
+    loading.prepare(spark, data)
+    found = loading.prepare(spark, data)
+    return reduce(
+        DataFrame.unionByName,
+        [found[side].select(F.lit(side).alias("side"), USER, ITEM, PLAYS) for side in sorted(found)],
+    )
+
+
+def written_results(spark: SparkSession, folder: str) -> DataFrame:
+    """A results table with one row per user, through the CSV sink."""
+    path = f"{scratch_path(spark, 'results')}.csv"
+    tables.write_results(prepare.user_totals(listens(spark, folder)), path)
+    schema = T.StructType.fromDDL(f"{USER} bigint, total_rows bigint")
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
 def view_query(spark: SparkSession, folder: str) -> DataFrame:
     train, validation = sides(spark, folder)
     tables.register_views({"train_data": train, "validation_data": validation})
@@ -257,7 +306,7 @@ def _split_summary(interactions: DataFrame) -> DataFrame:
 
 
 def split_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return _split_summary(listens(spark, folder))
+    return _split_summary(learned(spark, folder))
 
 
 def split_purchases(spark: SparkSession, folder: str) -> DataFrame:
@@ -334,14 +383,14 @@ def popularity_ranking(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def recommend_popular(spark: SparkSession, folder: str) -> DataFrame:
-    train, validation = written_sides(spark, listens(spark, folder))
+    train, validation = written_sides(spark, learned(spark, folder))
     top = popularity.popularity_top(popular(train), KS[1])
     users = prepare.distinct_users(validation)
     return popularity.recommend_popular(users, top, KS[0]).select(USER, joined("predicted"))
 
 
 def relevant_lists(spark: SparkSession, folder: str) -> DataFrame:
-    actual = lists.relevant_lists(validation_ratings(spark, folder))
+    actual = lists.relevant_lists(train_ratings(spark, folder), LIST_ROWS)
     return actual.select(USER, "part", joined("actual"))
 
 
@@ -355,7 +404,7 @@ def _metric_names(df: DataFrame) -> list[str]:
 
 def metrics_popularity(spark: SparkSession, folder: str) -> DataFrame:
     """The popularity run on validation and on held-out events."""
-    train, validation = written_sides(spark, listens(spark, folder))
+    train, validation = written_sides(spark, learned(spark, folder))
     sets = {"validation": validation, "test": prepare_test(spark, folder)}
     result = run_popularity(train, sets, KS, DAMPING, USER_THRESHOLD, counted=True)
     return rounded(result, *_metric_names(result))
@@ -378,12 +427,12 @@ def _full_metrics(train: DataFrame, relevant: DataFrame) -> DataFrame:
 
 
 def metrics_auc_mrr(spark: SparkSession, folder: str) -> DataFrame:
-    train, validation = written_sides(spark, listens(spark, folder))
+    train, validation = written_sides(spark, learned(spark, folder))
     return _full_metrics(train, validation)
 
 
 def metrics_train_side(spark: SparkSession, folder: str) -> DataFrame:
-    train, _ = written_sides(spark, listens(spark, folder))
+    train, _ = written_sides(spark, learned(spark, folder))
     return _full_metrics(train, train)
 
 
@@ -394,7 +443,7 @@ def metrics_auc_purchases(spark: SparkSession, folder: str) -> DataFrame:
 
 def metrics_every_user(spark: SparkSession, folder: str) -> DataFrame:
     """Top-N of each user's own history against held-out repeats; users without one score 0."""
-    train, validation = written_sides(spark, listens(spark, folder))
+    train, validation = written_sides(spark, learned(spark, folder))
     own = lists.top_n_per_user(train, KS[0]).select(USER, ITEM, POSITION)
     relevant = metrics.relevant_pairs(prepare.min_plays(validation, PLAY_THRESHOLD), counted=True)
     result = metrics.ranking_metrics(relevant, own, KS[:1], users=train)
@@ -403,7 +452,7 @@ def metrics_every_user(spark: SparkSession, folder: str) -> DataFrame:
 
 def rmse_mean_predictor(spark: SparkSession, folder: str) -> DataFrame:
     """RMSE of predicting each pair by the item's mean play count in train."""
-    train, validation = written_sides(spark, listens(spark, folder))
+    train, validation = written_sides(spark, learned(spark, folder))
     means = train.groupBy(ITEM).agg(F.avg(PLAYS).alias("prediction"))
     predictions = validation.join(means, ITEM)
     return rounded(metrics.rmse(predictions), "rmse")
@@ -421,7 +470,7 @@ def split_stability(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, folder: str):
-    train, validation = written_sides(spark, listens(spark, folder))
+    train, validation = written_sides(spark, learned(spark, folder))
     train = prepare.min_plays(train, PLAY_THRESHOLD)
     indexes = factors.written_indexes(fa.train_indexes(train))
     model = fa.fit_factors(fa.index_pairs(train, indexes), GRID[0])
@@ -474,7 +523,7 @@ def als_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _tuned(spark: SparkSession, folder: str) -> factors.Tuned:
-    train, validation = written_sides(spark, listens(spark, folder))
+    train, validation = written_sides(spark, learned(spark, folder))
     return factors.tune(train, validation, GRID, KS[0], PLAY_THRESHOLD)
 
 
@@ -521,6 +570,66 @@ def als_scaling_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("fraction", "n_pairs", (F.col("fit_seconds") > 0).alias("is_sound"))
 
 
+def als_prediction_is_product(spark: SparkSession, folder: str) -> DataFrame:
+    """Each known pair: whether its prediction is the product of the stored factors."""
+    model, validation, _ = _fitted(spark, folder)
+    product = F.aggregate(
+        F.zip_with("u", "i", lambda a, b: a.cast("double") * b.cast("double")),
+        F.lit(0.0),
+        lambda total, value: total + value,
+    )
+    users = model.userFactors.select(F.col("id").alias(USER_INDEX), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias(ITEM_INDEX), F.col("features").alias("i"))
+    scored = fa.predict(model, validation).join(users, USER_INDEX).join(items, ITEM_INDEX)
+    near = F.abs(F.col("prediction") - product) <= 1e-5 * (1 + F.abs(product))
+    return scored.select(USER, ITEM, PLAYS, near.alias("is_product"))
+
+
+def als_known_and_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchases: the two readings of relevance differ by the pairs that no model knows.
+
+    Counts of hits are the same for both, so recall times relevant pairs must be too.
+    """
+    train, validation = written_sides(spark, adapters.purchases(spark, folder))
+    # A fifth of the items is left out of the fit, so that the model lacks them.
+    known_items = F.pmod(F.xxhash64(ITEM), F.lit(5)) > 0
+    indexes = factors.written_indexes(fa.train_indexes(train.where(known_items)))
+    model = fa.fit_factors(fa.index_pairs(train.where(known_items), indexes), GRID[0])
+    indexed = fa.index_pairs(validation, indexes)
+    rows = {
+        mode: factors.evaluate_factors(model, indexed, KS[0], mode).first() for mode in ("known", "all")
+    }
+    known, every = rows["known"], rows["all"]
+    sound = known.precision * known.n_users, every.precision * every.n_users
+    same_hits = abs(sound[0] - sound[1]) <= 1e-9 * max(sound)
+    fewer = known.n_users <= every.n_users and known.recall > every.recall and known.rmse == every.rmse
+    return spark.createDataFrame(
+        [(every.n_users, same_hits, fewer)], "n_users bigint, same_hits boolean, all_is_stricter boolean"
+    )
+
+
+def random_rows_cover(spark: SparkSession, folder: str) -> DataFrame:
+    """Events on both sides of a random split: each once, and about the wanted share of them."""
+    tagged = split_random_rows(spark, folder)
+    share = F.avg(F.col(IS_TRAIN).cast("double"))
+    per_event = tagged.groupBy(EVENT).agg(F.count(F.lit(1)).alias("n"), F.first(IS_TRAIN).alias(IS_TRAIN))
+    return per_event.agg(
+        F.count(F.lit(1)).alias("n_events"), F.max("n").alias("most"), share.between(0.75, 0.85).alias("is_near")
+    )
+
+
+def bernoulli_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the row sample holds input rows only, none twice, and about a tenth of them."""
+    sample = sample_bernoulli(spark, folder)
+    known = sample.join(listens(spark, folder).select(EVENT), EVENT, "left_semi")
+    n = sample.count()
+    return listens(spark, folder).agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.lit(known.distinct().count() == n).alias("are_rows"),
+        (F.abs(F.lit(n) / F.count(F.lit(1)) - SAMPLE) < 0.03).alias("is_near"),
+    )
+
+
 def _all_shares(found: DataFrame) -> Column:
     names = [name for name in ("map", "precision", "ndcg", "recall") if name in found.columns]
     return reduce(Column.__and__, [F.col(name).between(0, 1) for name in names])
@@ -529,14 +638,12 @@ def _all_shares(found: DataFrame) -> Column:
 def compare_popularity(spark: SparkSession, folder: str) -> DataFrame:
     """The popularity half of the comparison: both sides of a random split of the pairs."""
     kept = prepare.min_plays(_written_ratings(spark, folder), PLAY_THRESHOLD, inclusive=False)
-    train, test = splits.split_random_pairs(kept, 0.2, SEED)
-    scores = popularity.popularity_scores(train, DAMPING, 1)
-    ranking = popularity.popularity_ranking(scores)
-    rows = []
-    for side, pairs in {"train": train, "test": test}.items():
-        relevant = metrics.relevant_pairs(pairs, counted=True)
-        found = metrics.full_ranking_metrics(relevant, ranking, KS[:1])
-        rows.append(found.select(F.lit(side).alias("side"), *comparison.COMPARED))
+    sides = comparison.compared_sides(kept, SEED)
+    ranking = comparison.compared_ranking(sides, DAMPING, 1)
+    rows = [
+        comparison.measured_popularity(ranking, pairs, KS[0]).withColumn("side", F.lit(side))
+        for side, pairs in sides.items()
+    ]
     return rounded(reduce(DataFrame.unionByName, rows), *comparison.COMPARED)
 
 
@@ -612,6 +719,15 @@ QUERIES: dict[str, Query] = {
         als_tune_points,
         als_scaling_sizes,
         compare_popularity,
+        read_interactions,
+        read_tracks,
+        read_users,
+        prepared_tables,
+        written_results,
+        als_prediction_is_product,
+        als_known_and_all,
+        random_rows_cover,
+        bernoulli_bounds,
         lsh_vs_exact_top_n,
     )
 }

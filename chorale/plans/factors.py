@@ -108,7 +108,7 @@ def tune(
     k: int = 100,
     play_threshold: int = 30,
     select_by: str = "map",
-    index_users: bool = False,
+    index_users: bool = True,
     seed: int = 1,
     blocks: int | None = None,
 ) -> Tuned:

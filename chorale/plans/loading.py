@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chorale.columns import IS_TRAIN
 from chorale.operators.prepare import clean_interactions, play_counts, sample_rows
-from chorale.operators.skew import DEFAULT_RULE, HotRule
 from chorale.operators.splits import prepare_test, tag_by_user_time
 from chorale.sources.tables import (
     Dataset,
@@ -15,16 +14,14 @@ from chorale.sources.tables import (
     load_split,
     materialize,
     read_interactions,
-    write_single_file,
+    write_files,
     write_split,
 )
 
 
-def split_ratings(
-    interactions: DataFrame, ratio: float = 0.8, rule: HotRule = DEFAULT_RULE
-) -> DataFrame:
+def split_ratings(interactions: DataFrame, ratio: float = 0.8) -> DataFrame:
     """(is_train, user, item, play_count): each side counted on its own, in one pass."""
-    tagged = tag_by_user_time(clean_interactions(interactions), ratio, rule)
+    tagged = tag_by_user_time(clean_interactions(interactions), ratio)
     return play_counts(tagged, IS_TRAIN)
 
 
@@ -33,13 +30,14 @@ def prepare(
 ) -> dict[str, DataFrame]:
     """The counted tables ``train``, ``validation`` and ``test``.
 
-    What is written already is read; the rest is built, written and read. Unless
+    What is written already with the same ratio is read; the rest is built, written and read. Unless
     told otherwise by ``with_test``, there is a test table for full data only.
     """
-    if not is_written(spark, data.split):
+    split = data.split(ratio)
+    if not is_written(spark, split):
         interactions = read_interactions(spark, data.input("interactions"))
-        write_split(split_ratings(interactions, ratio), data.split)
-    tables = {side: load_split(spark, data.split, side) for side in ("train", "validation")}
+        write_split(split_ratings(interactions, ratio), split)
+    tables = {side: load_split(spark, split, side) for side in ("train", "validation")}
     if data.has_test if with_test is None else with_test:
         materialize(
             spark,
@@ -53,6 +51,6 @@ def prepare(
 def write_samples(
     tables: dict[str, DataFrame], data: Dataset, fraction: float = 0.01, seed: int = 1
 ) -> None:
-    """A row sample of the train and of the validation table, each in one file if small."""
+    """A row sample of the train and of the validation table, each in one file."""
     for side in ("train", "validation"):
-        write_single_file(sample_rows(tables[side], fraction, seed), data.sample(side))
+        write_files(sample_rows(tables[side], fraction, seed), data.sample(side))

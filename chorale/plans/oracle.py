@@ -6,6 +6,7 @@ from chorale.plans import catalogue as c
 
 LISTENS = "listens AS (SELECT user_id, props AS recording_msid, ts AS listened_at, event_id FROM events)"
 HELD_OUT = f"{LISTENS}, held_out AS (SELECT * FROM listens WHERE listened_at >= TIMESTAMP '{c.TEST_FROM}')"
+LEARNED = f"{LISTENS}, learned AS (SELECT * FROM listens WHERE listened_at < TIMESTAMP '{c.TEST_FROM}')"
 PURCHASES = (
     "purchases AS (SELECT o_custkey AS user_id, CAST(l_partkey AS VARCHAR) AS recording_msid,"
     " o_orderdate AS listened_at FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
@@ -28,7 +29,7 @@ def tagged(source: str, tie: str = "") -> str:
     )
 
 
-SPLIT = f"{LISTENS}, {tagged('listens', ', event_id')}"
+SPLIT = f"{LEARNED}, {tagged('learned', ', event_id')}"
 SPLIT_PURCHASES = f"{PURCHASES}, {tagged('purchases')}"
 TRAIN = f"{SPLIT}, train AS ({counted('tagged', 'is_train')})"
 BOTH = f"{TRAIN}, validation AS ({counted('tagged', 'NOT is_train')})"
@@ -163,6 +164,31 @@ POINTS = " UNION ALL ".join(
 
 ORACLE: dict[str, str] = {
     "scan_interactions": f"WITH {LISTENS} SELECT {EVENT_COLUMNS} FROM listens",
+    "read_interactions": f"WITH {LEARNED} SELECT {EVENT_COLUMNS} FROM learned",
+    "read_tracks": (
+        "SELECT CAST(p_partkey AS VARCHAR) AS recording_msid, p_brand AS artist_name,"
+        " p_name AS track_name, CAST(NULL AS VARCHAR) AS recording_mbid FROM part"
+    ),
+    "read_users": "SELECT c_custkey AS user_id, c_name AS user_name FROM customer",
+    "prepared_tables": (
+        f"WITH {BOTH}, held_out AS (SELECT * FROM listens WHERE listened_at >= TIMESTAMP '{c.TEST_FROM}')"
+        " SELECT 'train' AS side, * FROM train UNION ALL SELECT 'validation' AS side, * FROM validation"
+        f" UNION ALL SELECT 'test' AS side, * FROM ({HELD_OUT_RATINGS}) AS t"
+    ),
+    "written_results": "SELECT user_id, count(*) AS total_rows FROM events GROUP BY user_id",
+    "als_prediction_is_product": (
+        f"WITH {KNOWN} SELECT user_id, recording_msid, play_count, TRUE AS is_product FROM checked"
+        " WHERE user_id IN (SELECT user_id FROM fitted)"
+        " AND recording_msid IN (SELECT recording_msid FROM fitted)"
+    ),
+    "als_known_and_all": (
+        f"WITH {SPLIT_PURCHASES} SELECT count(DISTINCT user_id) AS n_users, TRUE AS same_hits,"
+        " TRUE AS all_is_stricter FROM tagged WHERE NOT is_train"
+    ),
+    "random_rows_cover": (
+        "SELECT count(*) AS n_events, CAST(1 AS BIGINT) AS most, TRUE AS is_near FROM events"
+    ),
+    "bernoulli_bounds": "SELECT count(*) AS n_events, TRUE AS are_rows, TRUE AS is_near FROM events",
     "scan_test": f"WITH {HELD_OUT} SELECT {EVENT_COLUMNS} FROM held_out",
     "scan_tracks": (
         "SELECT CAST(p_partkey AS VARCHAR) AS recording_msid, p_brand AS artist_name,"
@@ -183,7 +209,9 @@ ORACLE: dict[str, str] = {
         f" FROM listens WHERE {bucket('user_id, recording_msid, event_id', c.SEED)} < {c.SAMPLE}"
     ),
     "materialize_hit": f"WITH {RATINGS} SELECT * FROM ratings",
-    "view_query": "SELECT props AS recording_msid, count(*) AS n_listens FROM events GROUP BY props",
+    "view_query": (
+        f"WITH {LEARNED} SELECT recording_msid, count(*) AS n_listens FROM learned GROUP BY recording_msid"
+    ),
     "clean_interactions": (
         "SELECT user_id, props AS recording_msid, CAST(ts AS VARCHAR) AS listened_at, event_id"
         " FROM events WHERE event_type <> 'error'"
@@ -208,7 +236,7 @@ ORACLE: dict[str, str] = {
     "distinct_users": "SELECT DISTINCT user_id FROM events",
     "distinct_items": "SELECT DISTINCT props AS recording_msid FROM events",
     "union_train_test": (
-        f"WITH {HELD_OUT}, {tagged('listens', ', event_id')},"
+        f"WITH {SPLIT}, held_out AS (SELECT * FROM listens WHERE listened_at >= TIMESTAMP '{c.TEST_FROM}'),"
         " both_sets AS (SELECT user_id, recording_msid FROM tagged WHERE is_train"
         " UNION ALL SELECT user_id, recording_msid FROM held_out)"
         f" {counted('both_sets')}"
@@ -276,9 +304,11 @@ ORACLE: dict[str, str] = {
         f" FROM ranking WHERE pos <= {c.KS[0]}) AS predicted FROM tagged WHERE NOT is_train"
     ),
     "relevant_lists": (
-        f"WITH {BOTH} SELECT user_id, CAST(0 AS BIGINT) AS part,"
+        f"WITH {TRAIN}, placed AS (SELECT user_id, recording_msid, CAST((row_number() OVER"
+        f" (PARTITION BY user_id ORDER BY recording_msid) - 1) // {c.LIST_ROWS} AS BIGINT) AS part"
+        " FROM train) SELECT user_id, part,"
         " string_agg(recording_msid, '|' ORDER BY recording_msid) AS actual"
-        " FROM validation GROUP BY user_id"
+        " FROM placed GROUP BY user_id, part"
     ),
     "top_n_per_user": (
         f"WITH {TRAIN} SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id"

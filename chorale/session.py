@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +29,30 @@ def build_session(app_name: str, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once for each context.
+
+    Functions that run in Python workers travel by name, and a worker finds them only
+    where the package is installed or shipped. The sources go out as Spark ships any
+    Python file, as one small archive.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_chorale_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="chorale-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "chorale.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for at, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._chorale_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -46,9 +72,21 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder under the shared one that holds what this application writes for itself."""
+    return f"{shared_folder(spark)}/chorale-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder, never used before."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path under the run's folder, never used before."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete what this application has written for itself. Call it when no result is read
+    any more; tables under another path stay."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -12,8 +12,6 @@ from pyspark.sql import types as T
 from chorale.columns import EVENT, IS_TRAIN, TIME
 from chorale.sources import schemas
 
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def conform(df: DataFrame, schema: T.StructType, keep_types: tuple[str, ...] = ()) -> DataFrame:
     """Exactly the columns of ``schema``, cast to its types; absent columns become nulls.
@@ -72,13 +70,14 @@ def load_split(spark: SparkSession, path: str, side: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("split") == side).drop("split")
 
 
-def write_single_file(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> int:
-    """One parquet file where the table has at most ``max_rows`` rows, else as many
-    files as it takes to keep to that. Returns the number of files asked for."""
-    n_files = max(1, -(-df.count() // max_rows))
-    fewer = df.coalesce(1) if n_files == 1 else df.repartition(n_files)
-    fewer.write.mode("overwrite").parquet(path)
-    return n_files
+def write_files(df: DataFrame, path: str, n_files: int = 1) -> None:
+    """``n_files`` parquet files of about equal length; one, unless the caller wants more.
+
+    Rows are spread by hash before, so that the tasks that make them stay as many as
+    they are; only the writing is done by ``n_files`` tasks.
+    """
+    spread = df.repartition(n_files, F.xxhash64(*df.columns))
+    spread.write.mode("overwrite").parquet(path)
 
 
 def is_written(spark: SparkSession, path: str) -> bool:
@@ -135,10 +134,9 @@ class Dataset:
         suffix = self.suffix if part == "train" else ""
         return f"{self.root}/{table}_{part}{suffix}.parquet"
 
-    @property
-    def split(self) -> str:
-        """The split's counted pairs, both sides."""
-        return f"{self.work}/split{self.suffix}.parquet"
+    def split(self, ratio: float = 0.8) -> str:
+        """The split's counted pairs, both sides; another ratio has another path."""
+        return f"{self.work}/split{self.suffix}-{ratio}.parquet"
 
     @property
     def test(self) -> str:

@@ -76,9 +76,11 @@ def test_long_lists_go_on_in_parts(spark):
     df = spark.createDataFrame(rows, RATINGS)
     got = relevant_lists(df, list_rows=10).collect()
     assert [r.actual for r in got if r.user_id == 2] == [["a", "b"]]
-    parts = [r.actual for r in got if r.user_id == 1]
-    assert len(parts) > 5 and sorted(sum(parts, [])) == [f"i{n:03d}" for n in range(100)]
-    assert [r.actual for r in relevant_lists(df).where("user_id = 1").collect()] == [sorted(sum(parts, []))]
+    own = sorted((r.part, r.actual) for r in got if r.user_id == 1)
+    parts = [actual for _, actual in own]
+    assert [part for part, _ in own] == list(range(10)) and all(len(p) == 10 for p in parts)
+    assert sum(parts, []) == [f"i{n:03d}" for n in range(100)]
+    assert [r.actual for r in relevant_lists(df).where("user_id = 1").collect()] == [sum(parts, [])]
 
 
 def test_top_n_per_user_limits_each_task_first(spark):

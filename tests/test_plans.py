@@ -6,26 +6,39 @@ import pytest
 
 from chorale.operators import popularity
 from chorale.operators.metrics import ranking_metrics, relevant_pairs
-from chorale.operators.prepare import play_counts
+from chorale.operators.prepare import play_counts, with_play_count
 from chorale.operators.skew import with_global_positions
 from chorale.operators.splits import tag_by_user_time
 from chorale.plans.loading import split_ratings
 from chorale.sources import adapters
 
 
+def run_plan(df):
+    """The plan as it was after the run."""
+    df.collect()
+    return plan(df).split("Initial Plan")[0]
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_split_and_count_take_one_shuffle(spark, folder):
-    text = plan(split_ratings(adapters.events_as_listens(spark, folder)))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,props:string>" in text
+def test_splits_read_the_events_once(spark, folder):
+    listens = adapters.events_as_listens(spark, folder)
+    for df in (tag_by_user_time(listens), split_ratings(listens)):
+        final = run_plan(df)
+        assert final.count("FileScan") == 1 and "ReusedExchange" in final
+        assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,props:string>" in final
 
 
-def test_split_reads_the_events_once(spark, folder):
-    text = plan(tag_by_user_time(adapters.events_as_listens(spark, folder)))
-    assert text.count("FileScan") == 1 and "Join" not in text
+def test_nothing_runs_before_the_result_is_asked_for(spark, folder):
+    listens = adapters.events_as_listens(spark, folder)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    split_ratings(listens), with_play_count(listens), tag_by_user_time(listens)
+    jobs = tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
 
 
 def test_only_needed_columns_are_read(spark, folder):

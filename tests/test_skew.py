@@ -6,15 +6,7 @@ from pyspark.sql import functions as F
 
 from chorale.functions.search import count_at_most
 from chorale.operators import skew
-from chorale.operators.skew import (
-    HotRule,
-    find_hot_keys,
-    with_global_positions,
-    with_key_rows,
-    with_positions,
-)
-
-EAGER = HotRule(floor=3)
+from chorale.operators.skew import day_of, with_global_positions, with_key_rows, with_positions
 
 
 def skewed_rows(seed=3):
@@ -35,37 +27,37 @@ def expected_positions(rows):
 
 
 @pytest.mark.parametrize("copy_run", [4, 100_000])
-@pytest.mark.parametrize("rule", [skew.DEFAULT_RULE, EAGER])
-def test_positions_equal_brute_force(spark, monkeypatch, rule, copy_run):
+@pytest.mark.parametrize("width", [1, 5, 1000])
+def test_positions_equal_brute_force(spark, monkeypatch, width, copy_run):
     monkeypatch.setattr(skew, "COPY_RUN", copy_run)
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "user int, time int, item string")
-    got = with_positions(df, ["user"], ["time"], rule).collect()
+    got = with_positions(df, ["user"], ["time"], F.floor(F.col("time") / width)).collect()
     assert sorted(tuple(r) for r in got) == expected_positions(rows)
 
 
-def test_the_pieces_way_is_taken_for_hot_keys_only(spark):
-    df = spark.createDataFrame(skewed_rows(), "user int, time int, item string")
-    assert find_hot_keys(df, ["user"]) is None
-    assert [r.user for r in find_hot_keys(df, ["user"], HotRule(floor=50)).collect()] == [1]
+def test_positions_of_rows_without_copies(spark):
+    rows = sorted(set(skewed_rows()))
+    df = spark.createDataFrame(rows, "user int, time int, item string")
+    got = with_positions(df, ["user"], ["time"], F.col("time"), distinct=True).collect()
+    assert sorted(tuple(r) for r in got) == expected_positions(rows)
 
 
-def test_hot_keys_and_their_pieces_are_bounded(spark):
-    df = spark.range(1000).select((F.col("id") % 90).alias("key"))
-    hot = find_hot_keys(df, ["key"], HotRule(floor=0, most=50)).collect()
-    assert len(hot) == 50 and min(r.key_rows for r in hot) >= 11
-    assert sum(r.pieces for r in hot) <= 5 * 50
-    # The keys left out are no larger than one part in `most`.
-    one_big = spark.range(2000).select(F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("key"))
-    hot = find_hot_keys(one_big, ["key"], HotRule(floor=0, most=3)).collect()
-    assert max(r.key_rows for r in hot) == 1000
+def test_days_rise_with_times_of_all_kinds(spark):
+    df = spark.sql(
+        "SELECT id * 7000 AS seconds, timestamp_seconds(id * 7000) AS at, to_date(timestamp_seconds(id * 7000)) AS day,"
+        " string(timestamp_seconds(id * 7000)) AS text FROM range(60)"
+    )
+    rows = df.select("seconds", *[day_of(df, c).alias(c + "_day") for c in df.columns]).orderBy("seconds").collect()
+    for column in df.columns:
+        days = [r[column + "_day"] for r in rows]
+        assert days == sorted(days) and 4 <= len(set(days)) <= 6
 
 
-@pytest.mark.parametrize("rule", [skew.DEFAULT_RULE, EAGER])
-def test_key_rows_equal_brute_force(spark, rule):
+def test_key_rows_equal_brute_force(spark):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "user int, time int, item string")
-    got = with_key_rows(df, ["user", "item"], "n", rule).collect()
+    got = with_key_rows(df, ["user", "item"], "n").collect()
     counts = {}
     for user, _, item in rows:
         counts[user, item] = counts.get((user, item), 0) + 1
@@ -90,7 +82,7 @@ def test_global_positions_of_an_empty_table(spark):
 def test_no_task_sorts_the_whole_table(spark):
     """Rows of the busiest window partition stay a small part of all rows."""
     df = spark.range(20_000).select(F.col("id").alias("n"))
-    bounds = skew._spread_picks(df, [], F.lit(64), ["n"])
+    bounds = skew._spread_picks(df, F.lit(64), ["n"])
     cuts = sorted(r.pick.n for r in bounds.collect())
     widths = [b - a for a, b in zip([0, *cuts], [*cuts, 20_000])]
     assert max(widths) < 20_000 / 5
