@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from chorale.operators.prepare import play_counts, union_all
 from chorale.plans import comparison, factors, loading
 from chorale.plans.popularity import run_popularity
-from chorale.session import build_session
+from chorale.session import build_session, clear_scratch
 from chorale.sources.tables import Dataset, read_interactions, write_results
 
 
@@ -37,7 +37,7 @@ def tune(spark: SparkSession, data: Dataset, args: argparse.Namespace) -> None:
         args.top,
         args.min_plays,
         args.select_by,
-        args.index_users,
+        index_users=not args.raw_user_ids,
     )
     write_results(tuned.results, data.results)
     tuned.results.show(len(grid), truncate=False)
@@ -81,14 +81,17 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--alpha", type=float, nargs="+", default=[0.1])
     parser.add_argument("--iterations", type=int, nargs="+", default=[20])
     parser.add_argument("--select-by", choices=["map", "precision", "ndcg", "rmse"], default="map")
-    parser.add_argument("--index-users", action="store_true")
+    parser.add_argument("--raw-user-ids", action="store_true", help="user ids are ints already")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session(f"chorale-{args.job}")
-    JOBS[args.job](spark, Dataset(args.root, args.work, args.variant), args)
+    try:
+        JOBS[args.job](spark, Dataset(args.root, args.work, args.variant), args)
+    finally:
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":
