@@ -225,9 +225,10 @@ def test_hashed_search_finds_the_best_of_each_bucket(monkeypatch, ratings, fitte
 def test_wide_buckets_find_everything_and_narrow_ones_score_less(ratings, fitted):
     model, indexes = fitted
     indexed = fa.index_pairs(ratings, indexes)
-    wide = comparison.compare_search(model, indexed, 5, 1, 1000.0).collect()
-    assert [r.method for r in wide] == ["exact", "hashed"]
-    narrow = comparison.compare_search(model, indexed, 5, 1, 0.2).collect()[1]
-    assert narrow.scored_share < 1.0 and narrow.recall <= 1.0
-    # Buckets this wide have one or two cells, so nearly every pair shares one.
-    assert wide[1].scored_share > narrow.scored_share
+    settings = [(1, 1, 1e6), (1, 1, 0.4), (1, 3, 0.4), (12, 3, 0.4)]
+    exact, wide, narrow, fine, many = comparison.compare_search(model, indexed, 5, settings).collect()
+    assert (exact.method, exact.recall) == ("exact", 1.0)
+    # Pieces this wide hold every vector.
+    assert wide.recall == 1.0 and wide.scored_share == 1.0
+    assert narrow.scored_share > fine.scored_share
+    assert many.recall > fine.recall and narrow.recall < 1.0
