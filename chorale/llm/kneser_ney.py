@@ -46,6 +46,8 @@ FLUSH_TOKENS = 2 << 20
 SLICE_BYTES = 2 << 20
 # Discounts where the counts of counts can't give any.
 FALLBACK = (0.5, 1.0, 1.5)
+# A count is kept in one byte; this one stands for those that need more, in a file of their own.
+LARGE = 255
 WORD_COLUMNS = ["n", "before", "after", "types", "once", "twice"]
 
 
@@ -160,8 +162,11 @@ def _write_pairs(packed: DataFrame, folder: str) -> DataFrame:
         before, word, n = _ordered(*(np.concatenate(x) for x in zip(*parts, strict=True)))
         keys = pair_keys(before, word)
         order = np.argsort(keys)
-        save(folder, f"pairs-{key[0].as_py()}.keys", keys[order])
-        save(folder, f"pairs-{key[0].as_py()}.counts", n[order].astype(np.uint32))
+        stem, ordered = f"pairs-{key[0].as_py()}", n[order]
+        large = np.flatnonzero(ordered >= LARGE)
+        save(folder, f"{stem}.keys", keys[order])
+        save(folder, f"{stem}.counts", np.minimum(ordered, LARGE).astype(np.uint8))
+        save(folder, f"{stem}.large", np.column_stack([large, ordered[large]]).astype(np.int64))
         firsts, at = np.unique(before, return_index=True)
         seconds, follows = np.unique(word, return_counts=True)
         every = np.union1d(firsts, seconds)
@@ -244,7 +249,20 @@ class Model:
             at = np.minimum(np.searchsorted(table, keys[own]), len(table) - 1)
             there = table[at] == keys[own]
             for column, found in zip(out, values, strict=True):
-                column[own[there]] = found[at[there]]
+                taken = found[at[there]]
+                if stem == "pairs":
+                    taken = self._with_large(f"{stem}-{shard[own[0]]}", at[there], taken)
+                column[own[there]] = taken
+        return out
+
+    def _with_large(self, stem: str, at: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The counts of the pairs at the places ``at`` of a shard."""
+        out = codes.astype(np.int64)
+        large = np.flatnonzero(codes == LARGE)
+        if len(large):
+            path = os.path.join(self.folder, f"{stem}.large")
+            places = np.memmap(path, dtype=np.int64, mode="r").reshape(-1, 2)
+            out[large] = places[np.searchsorted(places[:, 0], at[large]), 1]
         return out
 
     def score(self, texts: pa.Array) -> list[np.ndarray]:
@@ -258,7 +276,7 @@ class Model:
         after, types, once, twice = (facts[k][at[len(word) :]] for k in (2, 3, 4, 5))
         pairs, where = np.unique(pair_keys(before, word), return_index=True)
         shard = pair_shards(before[where], word[where], self.hot, self.pair_files)
-        (found,) = self._find("pairs", {"counts": np.uint32}, shard, pairs)
+        (found,) = self._find("pairs", {"counts": np.uint8}, shard, pairs)
         count = found[np.searchsorted(pairs, pair_keys(before, word))]
         d1, d2, d3 = self.pair_discounts
         known = np.maximum(after, 1)

@@ -59,7 +59,7 @@ def close(a, b):
 @pytest.mark.parametrize("shard_bytes", [20_000, 16 << 20])
 def test_scores_equal_plain_ones(spark, folder, monkeypatch, shard_bytes):
     given = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").limit(60).collect()]
-    rows = given + [(1000, None), (1001, ""), (1002, "never seen words"), (1003, given[0][1]), (1003, given[0][1])]
+    rows = given + [(1000, None), (1001, ""), (1002, "never seen words"), (1005, "again and " * 300), (1006, "again and " * 280), (1003, given[0][1]), (1003, given[0][1])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     monkeypatch.setattr(kn, "WORDS_PER_SHARD", 500)
     fit = kn.fit
