@@ -55,7 +55,11 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    """Line-first cleaning of all documents: word counts, base rules and verdict."""
+    """Line-first cleaning of all documents: word counts, base rules and verdict.
+
+    The verdict is the one of the query's SQL, by whole lines; ``quality.cleaned`` and with
+    it the pipeline go by what failed within them.
+    """
     docs = quality.judged(_table(spark, folder, "documents"))
     return docs.select(
         "doc_id",
@@ -65,7 +69,7 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        "kept",
+        F.col("kept_by_lines").alias("kept"),
         "n_lines",
         "n_failed_lines",
     )

@@ -17,7 +17,7 @@ from chorale.session import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failed lines go, and with them the documents that consist of little else."""
+    """What failed of the lines goes, and with it the documents that consist of little else."""
     return quality.cleaned(docs)
 
 

@@ -39,6 +39,30 @@ def test_lines_are_judged_one_by_one(spark):
     assert [r.text for r in quality.cleaned(docs).collect()] == [found[1].clean_text]
 
 
+def test_long_lines_lose_only_what_failed(spark):
+    prose = " ".join(" ".join(f"w{n}x{k}" for k in range(15)) + "." for n in range(40))
+    wide = "".join("".join(f"w{n}x{k} " for k in range(15)) + "完。" for n in range(4))
+    begun, ended = prose.split(". ", 1)[0] + ".", prose.split(". ", 1)[1]
+    cases = {
+        prose + " Tail": prose,
+        prose + ' He said "so it is." and': prose + ' He said "so it is."',
+        f"{begun} To go on: read more here. {ended}": f"{begun} {ended}",
+        "See the Terms of Use today. " + prose: prose,
+        prose + " Click here! And more": prose,
+        prose: prose,
+        wide + "tail": wide,
+        f"Menu | Home\n{prose} end\nno end here": prose,
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in quality.cleaned(docs).collect()} == dict(enumerate(cases.values()))
+    for r in quality.judged(docs).collect():
+        assert r.kept and r.kept_chars == sum(map(len, odd.spaced(r.clean_text)))
+        assert r.kept_by_lines == (r.text == prose)
+    bad = ["Tags: politics, sport and all", "Good day. Read more of this here.", "word " * 60, "a | b. " * 30]
+    docs = spark.createDataFrame([(k, f"{t}\n{prose}") for k, t in enumerate(bad)], "doc_id long, text string")
+    assert {r.text for r in quality.cleaned(docs).collect()} == {prose}
+
+
 def test_cleaned_keeps_the_columns(spark):
     docs = odd.clashing(odd.table(spark))
     left = quality.cleaned(docs)
