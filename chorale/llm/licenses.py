@@ -7,7 +7,9 @@ first, counted over all documents. A match must share one of the template's firs
 ``size - ceil(threshold * size) + 1`` words in that order (its prefix), so blocks and
 templates are joined on those. Of the candidates, a block with too few words for any
 match (length) goes, then one whose words from the shared one on can't reach the needed
-number (position); the rest is counted exactly.
+number (position); the rest is counted exactly. A block may match several templates. Where
+the words of one license nearly all stand in another, a match counts unless the block holds
+all words that tell the other apart and none that tell this one apart.
 
 Only words of the templates are looked at, so all that is shuffled are word counts and
 matches. The templates are a fixed list in this module, which bounds what is broadcast.
@@ -83,6 +85,24 @@ def template_words() -> dict[tuple[str, int], list[str]]:
     }
 
 
+def look_alikes() -> dict[tuple[str, int], list[tuple[list[str], list[str]]]]:
+    """For each template, the templates of other labels that match it by themselves: its own
+    words that they lack, and their words that it lacks."""
+    words = template_words()
+    return {
+        key: [
+            (sorted(set(own) - set(other)), sorted(set(other) - set(own)))
+            for (label, _), other in words.items()
+            if label != key[0] and len(set(own) & set(other)) >= _needed(own, THRESHOLD)
+        ]
+        for key, own in words.items()
+    }
+
+
+def _needed(words: list[str], threshold: float) -> int:
+    return math.ceil(threshold * len(words) - 1e-9)
+
+
 def _strings(values: list[str]) -> str:
     return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
@@ -123,15 +143,16 @@ def word_order(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 
 def _templates(docs: DataFrame, order: DataFrame, threshold: float) -> DataFrame:
-    """(label, number, size, needed, tokens): tokens rarest first."""
+    """(label, number, size, needed, alike, tokens): tokens rarest first."""
+    alike = look_alikes()
     rows = [
-        (label, n, len(words), math.ceil(threshold * len(words) - 1e-9), w)
+        (label, n, len(words), _needed(words, threshold), alike[label, n], w)
         for (label, n), words in template_words().items()
         for w in words
     ]
-    schema = "label string, number int, size int, needed int, word string"
+    schema = "label string, number int, size int, needed int, alike array<struct<own:array<string>,other:array<string>>>, word string"
     ranked = docs.sparkSession.createDataFrame(rows, schema).join(order, "word")
-    return ranked.groupBy("label", "number", "size", "needed").agg(
+    return ranked.groupBy("label", "number", "size", "needed", "alike").agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("n_docs", "word"))), lambda x: x["word"]
         ).alias("tokens")
@@ -139,7 +160,7 @@ def _templates(docs: DataFrame, order: DataFrame, threshold: float) -> DataFrame
 
 
 def matches(docs: DataFrame, keys: list[str], threshold: float = THRESHOLD) -> DataFrame:
-    """(keys, label, containment) of every block that matches, with its best template.
+    """(keys, label, containment) of every block with each license that it matches.
 
     A paragraph matches only templates of at least a PARAGRAPH_RATIO-th of its words: a
     long one holds the words of a one-line notice without being it.
@@ -174,15 +195,18 @@ def matches(docs: DataFrame, keys: list[str], threshold: float = THRESHOLD) -> D
     common = F.size(F.array_intersect("held", "tokens"))
     # Words of the template before the shared one can be matched too, but at most ``place`` of them.
     rest = F.expr("size(array_intersect(held, slice(tokens, place + 1, size)))")
-    containment = (common / F.col("size")).alias("containment")
+    other_one = F.expr(
+        "exists(alike, a -> NOT arrays_overlap(held, a.own) AND size(array_except(a.other, held)) = 0)"
+    )
     return (
         candidates.where(F.size("held") >= F.col("needed"))
         .where(F.col("length") <= PARAGRAPH_RATIO * F.col("size"))
         .where(F.col("place") + rest >= F.col("needed"))
         .where(common >= F.col("needed"))
-        .groupBy(*keys, "number_in_text")
-        .agg(F.max(F.struct(containment, "label")).alias("best"))
-        .select(*keys, "best.label", "best.containment")
+        .where(~other_one)
+        .groupBy(*keys, "number_in_text", "label")
+        .agg(F.max(common / F.col("size")).alias("containment"))
+        .select(*keys, "label", "containment")
     )
 
 

@@ -126,3 +126,23 @@ def test_matches_equal_all_comparisons(spark):
         if best[0] >= licenses.THRESHOLD:
             expected[k, best[1]] = best[0]
     assert found == expected
+
+
+def labels_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in licenses.matches(docs, ["doc_id"]).collect():
+        found.setdefault(r.doc_id, set()).add(r.label)
+    return [found.get(k, set()) for k in range(len(texts))]
+
+
+def test_a_block_matches_all_its_templates(spark):
+    every = " ".join(" ".join(t.split()) for ts in licenses.TEMPLATES.values() for t in ts)
+    texts = {
+        "Released under the MIT License. Licensed under the Apache License, Version 2.0": {"mit-license", "apache-2.0"},
+        every: set(licenses.TEMPLATES),
+        "Licensed under CC BY-NC 4.0": {"cc-by-nc"},
+        "Licensed under CC BY-SA 4.0": {"cc-by-sa"},
+        "Licensed under CC BY-NC-SA 4.0": {"cc-by-nc", "cc-by-sa"},
+    }
+    assert labels_of(spark, texts) == list(texts.values())
