@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+#: Runs of words looked at in paragraphs, as a multiple of the template's distinct words.
 PARAGRAPH_RATIO = 4
 # Words, what parts them, and the base phrases.
 WORD = r"[0-9a-z\x80-\x{10FFFF}]+"
@@ -162,8 +163,9 @@ def _templates(docs: DataFrame, order: DataFrame, threshold: float) -> DataFrame
 def matches(docs: DataFrame, keys: list[str], threshold: float = THRESHOLD) -> DataFrame:
     """(keys, label, containment) of every block with each license that it matches.
 
-    A paragraph matches only templates of at least a PARAGRAPH_RATIO-th of its words: a
-    long one holds the words of a one-line notice without being it.
+    A long paragraph can hold the words of a one-line notice without being it, so one of more
+    than PARAGRAPH_RATIO times the template's words matches if some run of so many of its
+    words does. Every such run is looked at, but only in paragraphs that match as a whole.
     """
     vocabulary = sorted({w for words in template_words().values() for w in words})
     order = word_order(docs, vocabulary)
@@ -188,6 +190,7 @@ def matches(docs: DataFrame, keys: list[str], threshold: float = THRESHOLD) -> D
             *keys,
             "number_in_text",
             "x.length",
+            F.expr("CASE WHEN x.length > 0 THEN x.block END").alias("paragraph"),
             F.expr(f"array_intersect({_words('x.block')}, {_strings(vocabulary)})").alias("held"),
         )
     )
@@ -195,17 +198,29 @@ def matches(docs: DataFrame, keys: list[str], threshold: float = THRESHOLD) -> D
     common = F.size(F.array_intersect("held", "tokens"))
     # Words of the template before the shared one can be matched too, but at most ``place`` of them.
     rest = F.expr("size(array_intersect(held, slice(tokens, place + 1, size)))")
-    other_one = F.expr(
-        "exists(alike, a -> NOT arrays_overlap(held, a.own) AND size(array_except(a.other, held)) = 0)"
+    # The words that matter of each run that begins with one of them; what matters stands in
+    # order, so a run holds no more of it than its length, and the work grows as the paragraph.
+    span = f"{PARAGRAPH_RATIO} * size"
+    telling = "array_union(tokens, flatten(transform(alike, a -> a.other)))"
+    hits = f"""filter(transform({_words('paragraph')}, (w, i) -> named_struct('at', i, 'word', w)),
+        h -> array_contains({telling}, h.word))"""
+    runs = f"""flatten(transform(array({hits}), hits -> transform(hits, (first, i) -> array_distinct(transform(
+        filter(slice(hits, i + 1, {span}), h -> h.at < first.at + {span}), h -> h.word)))))"""
+    matched = """size(array_intersect(run, tokens)) >= needed AND NOT exists(alike, a ->
+        NOT arrays_overlap(run, a.own) AND size(array_except(a.other, run)) = 0)"""
+    # 0 where no run matches, as ``needed`` is above 0.
+    most = F.expr(
+        f"""aggregate(filter(CASE WHEN length > {span} THEN {runs} ELSE array(held) END, run -> {matched}), 0,
+        (most, run) -> greatest(most, size(array_intersect(run, tokens))))"""
     )
     return (
         candidates.where(F.size("held") >= F.col("needed"))
-        .where(F.col("length") <= PARAGRAPH_RATIO * F.col("size"))
         .where(F.col("place") + rest >= F.col("needed"))
         .where(common >= F.col("needed"))
-        .where(~other_one)
+        .select(*keys, "number_in_text", "label", (most / F.col("size")).alias("containment"))
+        .where("containment > 0")
         .groupBy(*keys, "number_in_text", "label")
-        .agg(F.max(common / F.col("size")).alias("containment"))
+        .agg(F.max("containment").alias("containment"))
         .select(*keys, "label", "containment")
     )
 

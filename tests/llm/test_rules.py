@@ -146,3 +146,20 @@ def test_a_block_matches_all_its_templates(spark):
         "Licensed under CC BY-NC-SA 4.0": {"cc-by-nc", "cc-by-sa"},
     }
     assert labels_of(spark, texts) == list(texts.values())
+
+
+def test_wrapped_notices_match_in_long_paragraphs(spark):
+    fill = [" ".join(f"x{n}y{k}" for k in range(9)) for n in range(30)]
+    begin, end = "\n".join(fill[:15]), "\n".join(fill[15:])
+    texts = {
+        f"{begin} Released under\nthe MIT License. {end}": {"mit-license"},
+        f"Released under\nthe MIT License. {end}": {"mit-license"},
+        f"{begin} Licensed under CC\nBY-NC 4.0 {end} sa": {"cc-by-nc"},
+        f"{begin} Licensed under CC BY-NC\n4.0 {end} Licensed under CC\nBY-SA 4.0": {"cc-by-nc", "cc-by-sa"},
+        f"released {begin} under the {end} mit license": set(),
+    }
+    for label, (*_, notice) in licenses.TEMPLATES.items():
+        words = notice.split()
+        half = len(words) // 2
+        texts[f"{begin} {' '.join(words[:half])}\n# {' '.join(words[half:])} {end}"] = {label}
+    assert labels_of(spark, texts) == list(texts.values())
