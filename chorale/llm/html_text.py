@@ -6,7 +6,9 @@ their name. The weights are log odds of standing in the content, learned from th
 labelled pages of ``page_labels``: words in running text come out positive, tags are kept
 below zero. A linear scan finds the contiguous run with the greatest sum, which then is
 widened to whole blocks. Elements that hold no content by their kind (scripts, menus,
-forms, adverts, comments of readers and the like) are left out of the scan and the text.
+forms, adverts, comments of readers and the like) are left out of the scan and the text,
+unless the page's article or main element is in them. What a class or id says in part only
+lowers the weight of all in the element.
 
 Each page is a row of its own: no shuffle, and memory for one page at a time beside
 Spark's batches.
@@ -62,6 +64,11 @@ KINDS = {
     "subscription", "toc", "toolbar", "topbar", "widget", "header",
 }
 CONTENT = {"article", "main"}
+# Elements whose id may be an anchor to their text, and those that part content.
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+SECTIONS = {"section", "div", "p", "li", "dt", "dd", "td", "th", "tr", "a", "span", "figure", "blockquote", "pre", "table"}
+#: What elements count whose class or id says in part what they are for.
+LOWERED = 0.1
 OWN_HEADER = {"article", "content", "entry", "post", "story"}
 
 _TAG = re.compile(
@@ -69,10 +76,9 @@ _TAG = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z](?:[^>]*>|[^>]*\Z)",
     re.DOTALL,
 )
-_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
-_HIDDEN = re.compile(
-    r"(?:^|\s)hidden(?:[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE
-)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_NONE = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+_CAMEL = re.compile(r"([a-z])([A-Z])")
 _PARTS = re.compile(r"[a-z]+")
 
 
@@ -84,23 +90,47 @@ class Piece:
     text: str = ""
     block: bool = False
     labelled: bool = False
-
-
-def _is_dropped(name: str, rest: str, inside: bool) -> bool:
-    if name in DROPPED and not (name == "header" and inside):
-        return True
-    if not rest or name in ("html", "body", "article", "main"):
-        return False
-    if _HIDDEN.search(rest):
-        return True
-    for match in _NAMED.finditer(rest):
-        words = set(_PARTS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", match[2]).lower()))
-        kinds = words & KINDS
-        if kinds == {"header"} and (inside or words & OWN_HEADER):
-            continue
-        if kinds:
-            return True
-    return False
+    share: float = 1.0
+
+
+def _attributes(rest: str) -> dict[str, str]:
+    """The first value of each attribute, by its name in lower case."""
+    found: dict[str, str] = {}
+    for match in _ATTRIBUTE.finditer(rest):
+        found.setdefault(match[1].lower(), (match[2] or "").strip("\"'"))
+    return found
+
+
+def _kind(name: str, rest: str, inside: bool) -> str:
+    """``dropped`` for what is no content by its class, id or role, or hidden; ``lowered``
+    where a part of these says so; else empty.
+
+    What a class or id is about is the whole of it or its first word: ``ad-slot`` is an
+    advert, ``has-sidebar`` no sidebar. In content, an id is an anchor unless it is a kind.
+    """
+    found = _attributes(rest)
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or _NONE.search(found.get("style", "")):
+        return "dropped"
+    lowered = False
+    for key in ("class", "id", "role"):
+        tokens = [_PARTS.findall(_CAMEL.sub(r"\1 \2", t).lower()) for t in found.get(key, "").split()]
+        own_header = inside or any(OWN_HEADER.intersection(t) for t in tokens)
+        for token in tokens:
+            kinds = KINDS.intersection(token)
+            if not kinds or (kinds == {"header"} and own_header):
+                continue
+            anchor = key == "id" and (name in HEADINGS or name == "section" and inside)
+            anchor = anchor or (key == "id" and name in SECTIONS and inside and len(token) > 1)
+            if anchor:
+                continue
+            if token[0] in KINDS and not (token[0] == "header" and own_header):
+                return "dropped"
+            lowered = True
+    return "lowered" if lowered else ""
+
+
+def _is_dropped(name: str, inside: bool) -> bool:
+    return name in DROPPED and not (name == "header" and inside)
 
 
 class _Open:
@@ -129,8 +159,64 @@ class _Open:
         return any(self.count[x] for x in CONTENT)
 
 
+def _implied(stack: _Open, name: str) -> None:
+    """Ends the elements that an opening tag of ``name`` ends."""
+    if name == "a":
+        stack.close("a")
+    while stack.names and (
+        stack.names[-1] in ENDS.get(name, ()) or (name in BLOCKS and stack.names[-1] == "p")
+    ):
+        stack.pop()
+
+
+def _after_raw(page: str, name: str, at: int) -> int:
+    end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
+    return end.end() if end else len(page)
+
+
+def _with_content(page: str) -> dict[int, bool]:
+    """The places of the tags that open an element with an article or main element in it, and
+    whether all of the page's are in it. Articles of a kind, such as comments, don't count."""
+    stack = _Open()
+    opened: list[tuple[int, int]] = []  # place, and contents before it
+    found: dict[int, int] = {}
+    contents = 0
+    at = 0
+
+    def cut() -> None:
+        while len(opened) > len(stack.names):
+            place, before = opened.pop()
+            if contents > before:
+                found[place] = contents - before
+
+    while match := _TAG.search(page, at):
+        at = match.end()
+        if not match["name"]:
+            continue
+        name, rest = match["name"].lower(), match["rest"] or ""
+        if match["end"]:
+            stack.close(name)
+            cut()
+            continue
+        if name in RAW:
+            at = _after_raw(page, name, at)
+            continue
+        _implied(stack, name)
+        cut()
+        if name not in VOID and not rest.endswith("/"):
+            stack.push(name)
+            opened.append((match.start(), contents + 1 if name in CONTENT else contents))
+            if name == "main" or (name == "article" and _kind(name, rest, False) != "dropped"):
+                contents += 1
+    stack.names.clear()
+    cut()
+    return {place: n == contents for place, n in found.items()}
+
+
 def pieces(page: str) -> list[Piece]:
     """The page's texts and tags in order, without those of dropped elements."""
+    with_content = _with_content(page)
+    shares: list[tuple[int, float]] = []  # open elements whose parts count less, by depth
     out: list[Piece] = []
     stack = _Open()
     dropped_at: int | None = None
@@ -141,7 +227,12 @@ def pieces(page: str) -> list[Piece]:
         if value and dropped_at is None:
             place = "in" if stack.in_content() else "out"
             kind = f"{place}/{'link' if stack.count['a'] else 'text'}"
-            out.append(Piece(kind, html.unescape(value), labelled=labelled))
+            out.append(Piece(kind, html.unescape(value), labelled=labelled, share=share()))
+
+    def share() -> float:
+        while shares and len(stack.names) <= shares[-1][0]:
+            shares.pop()
+        return shares[-1][1] if shares else 1.0
 
     while match := _TAG.search(page, at):
         text(page[at : match.start()])
@@ -156,31 +247,38 @@ def pieces(page: str) -> list[Piece]:
             if dropped_at is not None and len(stack.names) <= dropped_at:
                 dropped_at = None
             elif dropped_at is None:
-                out.append(Piece(f"/{name}", block=name in BLOCKS, labelled=labelled))
+                out.append(Piece(f"/{name}", block=name in BLOCKS, labelled=labelled, share=share()))
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-            at = end.end() if end else len(page)
+            at = _after_raw(page, name, at)
             if dropped_at is None:
-                out.append(Piece("dropped", labelled=labelled))
+                out.append(Piece("dropped", labelled=labelled, share=share()))
             continue
-        if name == "a":
-            stack.close("a")
-        while stack.names and (
-            stack.names[-1] in ENDS.get(name, ()) or (name in BLOCKS and stack.names[-1] == "p")
-        ):
-            stack.pop()
+        _implied(stack, name)
         if dropped_at is not None and len(stack.names) <= dropped_at:
             dropped_at = None
-        if dropped_at is None and _is_dropped(name, rest, stack.in_content()):
-            out.append(Piece("dropped", block=name in BLOCKS, labelled=labelled))
+        drops = lowers = False
+        if dropped_at is None:
+            share()  # forgets what has ended
+            inside = stack.in_content()
+            by_name = _is_dropped(name, inside)
+            kind = _kind(name, rest, inside) if rest and name not in ("html", "body", "article", "main") else ""
+            all_content = with_content.get(match.start())
+            # Asides and the like may show other articles; only those of the page save them.
+            drops = (by_name and not all_content) or (kind == "dropped" and all_content is None)
+            lowers = not drops and (by_name or (kind == "dropped") or (kind == "lowered" and all_content is None))
+        share_here = share()
+        if drops:
+            out.append(Piece("dropped", block=name in BLOCKS, labelled=labelled, share=share()))
             if name not in VOID:
                 dropped_at = len(stack.names)
         elif dropped_at is None:
             if name == "br":
                 text(" ")
-            out.append(Piece(name, block=name in BLOCKS, labelled=labelled))
+            out.append(Piece(name, block=name in BLOCKS, labelled=labelled, share=share_here))
         if name not in VOID and not rest.endswith("/"):
+            if lowers:
+                shares.append((len(stack.names), LOWERED))
             stack.push(name)
         elif dropped_at == len(stack.names):
             dropped_at = None
@@ -234,7 +332,8 @@ def main_text(page: str | None) -> str:
     found = pieces(page or "")
     weight = weights()
     scores = [
-        weight.get(p.kind, weight[""]) * (len(p.text.split()) if "/" in p.kind[1:] else 1) for p in found
+        p.share * weight.get(p.kind, weight[""]) * (len(p.text.split()) if "/" in p.kind[1:] else 1)
+        for p in found
     ]
     begin, end = best_region(scores)
     if begin == end:

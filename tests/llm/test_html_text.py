@@ -35,6 +35,38 @@ def test_furniture_goes_and_content_stays():
                 assert html_text.main_text(page) == expected, (shell, n)
 
 
+def test_no_content_goes_for_a_word_in_its_attributes():
+    text = "A sentence with quite enough words to be content, number {}."
+    body = "".join(f"<p>{text.format(k)}</p>" for k in range(4))
+    expected = "\n\n".join(text.format(k) for k in range(4))
+    for tag in (
+        'h2 id="search-trees"', 'section id="related-work"', 'h2 id="login-flow"', 'section id="comments"',
+        'div class="section" id="search-trees"', 'p title="a hidden gem"', 'div data-id="menu"',
+        'section data-role="banner"', 'p id="notice-period"', 'h3 id="search"', 'div class="has-sidebar"',
+    ):
+        name = tag.split()[0]
+        inner = f"{body}<{tag}>Words in here stay in the text.</{name}>{body}"
+        whole = f"{expected}\n\nWords in here stay in the text.\n\n{expected}"
+        assert html_text.main_text(f"<body><article>{inner}</article></body>") == whole, tag
+    for tag in (
+        'div class="content-sidebar-wrap"', 'div class="page has-sidebar"', 'div class="sidebar"', "form",
+        'div id="search"', "aside", "div hidden", 'div class="widget"',
+    ):
+        name = tag.split()[0]
+        for shell in ("article", "main"):
+            page = f"<body><{tag}><{shell}>{body}</{shell}></{name}><footer>All rights reserved.</footer></body>"
+            assert html_text.main_text(page) == expected, (tag, shell)
+    for wrap in ("content-sidebar-wrap", "page has-sidebar"):
+        assert html_text.main_text(f'<body><div class="{wrap}">{body}</div></body>') == expected
+    comment = "<p>What a great article this is, thank you so much.</p>"
+    for piece in (
+        f'<div id="comments"><ol><li><article class="comment-body">{comment}</article></li></ol></div>',
+        f"<aside><article>{comment}</article></aside>",
+        f"<nav>{comment}",
+    ):
+        assert html_text.main_text(f"<body><article>{body}</article>{piece}</body>") == expected, piece
+
+
 def test_references_white_space_and_broken_markup():
     page = "<article><p>Fish &amp; chips &lt;b&gt;\n\t caf&eacute;&nbsp;x</p><p>un<b>brok</b>en<br>line <i>open<p>next &copy"
     assert html_text.main_text(page) == "Fish & chips <b> café x\n\nunbroken line open\n\nnext ©"
