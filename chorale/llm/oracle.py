@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chorale.llm import chat, licenses, quality
+from chorale.llm import chat, fill_middle, licenses, quality, source_divergence
 
 # Words parted by white space, and plain words, as DuckDB reads patterns.
 SPACED = r"[^\x20\x09-\x0D]+"
@@ -209,10 +209,83 @@ def _substrings(length: int = 35) -> str:
     FROM documents d LEFT JOIN left_words l USING (doc_id)"""
 
 
+def _fill_middle(seed: int = 7, rate: int = 100, suffix_first: int = 50) -> str:
+    drawn = ", ".join(f"CAST('0x' || substr(digest, {8 * k + 1}, 8) AS BIGINT) AS h{k + 1}" for k in range(4))
+    p, s, m = (_quoted(x) for x in (fill_middle.PREFIX, fill_middle.SUFFIX, fill_middle.MIDDLE))
+    marked = " OR ".join(f"contains(said, {x})" for x in (p, s, m))
+    return f"""
+    WITH units AS (
+        SELECT doc_id, coalesce(text, '') AS said, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+            sha256('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+    drawn AS (SELECT doc_id, said, units, len(units) AS n, {drawn} FROM units),
+    cut AS (
+        SELECT doc_id, said, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+            units, CASE WHEN said = '' OR {marked} OR h3 % 100 >= {rate} THEN 'plain'
+                WHEN h4 % 100 < {suffix_first} THEN 'spm' ELSE 'psm' END AS form
+        FROM drawn),
+    pieces AS (
+        SELECT doc_id, said, n, form, array_to_string(units[1:a], '') AS prefix,
+            array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix
+        FROM cut)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN said WHEN 'psm' THEN {p} || prefix || {s} || suffix || {m} || middle
+            ELSE {s} || suffix || {p} || prefix || {m} || middle END) AS output_sha256,
+        sha256(said) AS restored_sha256
+    FROM pieces"""
+
+
+def _source_divergence() -> str:
+    rules = source_divergence
+    lowered = LOWER.format("coalesce(text, '')")
+
+    def price(n: str, total: str) -> str:
+        return f"CAST(1 + ({rules.SCALE}::HUGEINT * ({n} + {rules.SMOOTHING})) // ({total} + {rules.SMOOTHING} * v) AS BIGINT)"
+
+    return f"""
+    WITH read AS (
+        SELECT row_number() OVER () AS number, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            regexp_extract_all({lowered}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+    places AS (SELECT number, lang, source, unnest(terms) AS term FROM read),
+    kept AS (SELECT lang, term FROM places GROUP BY ALL HAVING count(DISTINCT number) >= {rules.MIN_DOCS}),
+    sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM places JOIN kept USING (lang, term) GROUP BY ALL),
+    groups AS (
+        SELECT g.lang, g.source, coalesce(v, 0) AS v, CAST(coalesce(sum(n), 0) AS BIGINT) AS total
+        FROM (SELECT DISTINCT lang, source FROM read) g LEFT JOIN sizes USING (lang)
+        LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source GROUP BY ALL),
+    langs AS (SELECT lang, any_value(v) AS v, CAST(sum(total) AS BIGINT) AS total FROM groups GROUP BY lang),
+    priced AS (
+        SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {price("coalesce(c.n, 0)", "total")} AS p
+        FROM groups g JOIN kept k ON k.lang = g.lang
+        LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    of_langs AS (
+        SELECT l.lang, t.term, {price("t.n", "total")} AS q
+        FROM langs l JOIN (SELECT lang, term, CAST(sum(n) AS BIGINT) AS n FROM counts GROUP BY ALL) t USING (lang)),
+    apart AS (
+        SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+        FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    pairs AS (
+        SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+    above AS (
+        SELECT p.lang, p.source, p.term AS item, p - q AS value
+        FROM priced p JOIN of_langs l ON l.lang = p.lang AND l.term = p.term WHERE n > 0 AND p > q),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place
+        FROM (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+            UNION ALL SELECT lang, source, 'term', item, value FROM above))
+    SELECT lang, source, part, item, value, CAST(place AS INTEGER) AS rank
+    FROM ranked WHERE part = 'pair' OR place <= {rules.TOP_TERMS}"""
+
+
 ORACLE: dict[str, str] = {
     "op2_chat_format": _chat(),
     "op3_quality_rules": _quality(),
     "op4_decontaminate": _decontaminate(),
     "op7_license_scan": _licenses(),
     "op9_substring_dedup": _substrings(),
+    "op11_fill_middle": _fill_middle(),
+    "op12_source_divergence": _source_divergence(),
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chorale.llm import (
     chat,
     decontaminate,
+    fill_middle,
     html_text,
     kneser_ney,
     licenses,
@@ -17,7 +18,9 @@ from chorale.llm import (
     packing,
     quality,
     sharding,
+    source_divergence,
     substrings,
+    toxicity,
 )
 from chorale.llm.oracle import ORACLE
 
@@ -113,6 +116,30 @@ def op10_pack_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(packing.measured(_table(spark, folder, "documents")))
 
 
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents cut at lines into prefix, middle and suffix, and put together again."""
+    docs = fill_middle.transformed(_table(spark, folder, "documents"))
+    return docs.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources of a language by how far they are apart, and the terms that stand out in each."""
+    return source_divergence.audited(_table(spark, folder, "documents"))
+
+
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels of those that aren't held out."""
+    return toxicity.report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_shard_ring": op1_shard_ring,
     "op2_chat_format": op2_chat_format,
@@ -124,4 +151,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_pack_best_fit": op10_pack_best_fit,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_toxicity": op13_toxicity,
 }

@@ -156,6 +156,34 @@ def words_of(texts: pa.Array, flags: np.ndarray, lower: bool) -> Words:
     return Words(text, starts - offsets[text], ends - offsets[text], hashes, bounds)
 
 
+def coded_words(
+    texts: pa.Array, flags: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Text, begin, end (bytes of the slice) and number of each word, and the words by number.
+
+    A-Z are lower-cased before words are told apart; ``flags`` are for the bytes as they are.
+    Words are compared as they are, not by hashes.
+    """
+    data, offsets = utf8_parts(texts)
+    first_byte = int(offsets[0])
+    data, offsets = data[first_byte : offsets[-1]], offsets - first_byte
+    inside = flags[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    at = offsets[1:-1]
+    at = at[at < len(data)]
+    first[at] = inside[at]
+    starts = np.flatnonzero(first)
+    # Only bytes of words are kept, one word after another: the begins are then all there is to know.
+    letters = _LOWER[data[inside]]
+    edges = np.append(np.flatnonzero(first[inside]), len(letters)).astype(np.int64)
+    found = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(edges), pa.py_buffer(letters))
+    coded = found.dictionary_encode()
+    text = np.searchsorted(offsets, starts, "right") - 1
+    codes = coded.indices.to_numpy().astype(np.int64)
+    return text, starts, starts + np.diff(edges), codes, coded.dictionary
+
+
 def window_hashes(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``length`` words inside one text, and the number of their first word."""
     n = len(words)
