@@ -9,7 +9,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
 
@@ -85,12 +85,49 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def clear_scratch(spark: SparkSession) -> bool:
     """Delete what this application has written for itself. Call it when no result is read
     any more; tables under another path stay."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
-    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    return _remove(spark, run_folder(spark))
+
+
+def _remove(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+class Workspace:
+    """Tables that a job writes under the run's folder on its way to a result.
+
+    Reading them back cuts lineage as a checkpoint does, in compressed columns and in as
+    many partitions as their size asks for. A job drops what it needs no more, and so
+    leaves nothing but what its result reads.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self._spark = spark
+        self._folder = scratch_path(spark, name)
+        self._written = 0
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df``, written and read back; ``name`` is for who looks at the folder."""
+        self._written += 1
+        path = f"{self._folder}/{self._written}-{name}"
+        df.write.parquet(path)
+        table = self._spark.read.schema(df.schema).parquet(path)
+        table._chorale_path = path
+        return table
+
+    def same(self, df: DataFrame, table: DataFrame) -> DataFrame:
+        """``df``, which reads ``table``, to be dropped in its place."""
+        df._chorale_path = table._chorale_path
+        return df
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that ``keep`` gave; nothing may read them any more."""
+        for table in tables:
+            _remove(self._spark, table._chorale_path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Give the context a checkpoint folder if it has none yet."""
+    """Give the context a checkpoint folder if it has none yet; ``clear_scratch`` deletes it too."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
+        context.setCheckpointDir(f"{run_folder(spark)}/checkpoints")
