@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from chorale.llm.components import components
 from chorale.llm.words import PLAIN, Words, mixed, slices, windows_at, words_of
-from chorale.session import ensure_checkpoint_dir, ship_package
+from chorale.session import Workspace, ship_package
 
 SHINGLE = 5
 # Odd numbers that keep the hashes of weights, ranks, darts and bands apart.
@@ -297,35 +297,35 @@ def classes(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     """(doc_id, node, class_id, kept): each row's class, and whether its class keeps it.
 
     ``docs`` has ``doc_id``, ``text`` and ``node``. It is read twice: for signatures, and
-    for the texts of those that share a bucket.
+    for the texts of those that share a bucket. All tables written on the way are deleted
+    again, but the one of classes, which the result reads.
     """
-    ensure_checkpoint_dir(docs.sparkSession)
     ship_package(docs.sparkSession)
+    work = Workspace(docs.sparkSession, "near-duplicates")
     signed = _signed(docs, banding)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
-    nodes = (
-        signed.groupBy("node")
-        .agg(F.min(order).alias("first"), F.first("bands").alias("bands"))
-        .checkpoint()
+    nodes = work.keep(
+        signed.groupBy("node").agg(F.min(order).alias("first"), F.first("bands").alias("bands")), "nodes"
     )
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = _with_hubs(rows.join(sizes, "bucket").checkpoint()).checkpoint()
+    counted = work.keep(rows.join(sizes, "bucket"), "counted")
+    shared = work.keep(_with_hubs(counted), "shared")
+    work.drop(counted)
     members = shared.select("node").distinct()
     wanted = nodes.join(members, "node", "left_semi").select("node", "first.doc_id").alias("w")
     candidates = docs.select("doc_id", "node", "text").alias("d")
     same_id = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
-    texts = (
+    texts = work.keep(
         candidates.join(wanted, (F.col("d.node") == F.col("w.node")) & same_id)
         .select("d.node", "d.text")
-        .dropDuplicates(["node"])
-        .checkpoint()
+        .dropDuplicates(["node"]),
+        "texts",
     )
     pairs = shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = _links(pairs, texts, banding.threshold).checkpoint()
-    named = components(links, "a", "b")
+    stars = components(_links(pairs, texts, banding.threshold), "a", "b", work)
     # Buckets that hold several components yet: compare across them what no hub has settled.
-    placed = shared.join(named, "node", "left").withColumn(
+    placed = shared.join(stars, "node", "left").withColumn(
         "component", F.coalesce("component", F.col("node"))
     )
     several = (
@@ -334,14 +334,23 @@ def classes(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
         .where("low <> high")
         .select("bucket")
     )
-    open_rows = placed.join(several, "bucket", "left_semi").select("bucket", "hub", "node", "component")
-    across = _across(open_rows.checkpoint(), nodes, texts, banding)
-    links = links.unionByName(_links(across, texts, banding.threshold)).checkpoint()
-    named = components(links, "a", "b")
+    open_rows = work.keep(
+        placed.join(several, "bucket", "left_semi").select("bucket", "hub", "node", "component"), "open"
+    )
+    across = _links(_across(open_rows, nodes, texts, banding), texts, banding.threshold)
+    # The stars stand for the links they came from.
+    tied = stars.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    named = components(tied.unionByName(across), "a", "b", work)
     label = nodes.select("node", "first").join(named, "node", "left")
     label = label.withColumn("component", F.coalesce("component", F.col("node")))
     least = label.groupBy("component").agg(F.min(F.struct("first", "node")).alias("kept"))
-    by_node = label.join(least, "component").select("node", F.col("kept.first.doc_id").alias("class_id"), F.col("kept.node").alias("kept_node"))
+    by_node = work.keep(
+        label.join(least, "component").select(
+            "node", F.col("kept.first.doc_id").alias("class_id"), F.col("kept.node").alias("kept_node")
+        ),
+        "classes",
+    )
+    work.drop(nodes, shared, texts, stars, open_rows, named)
     kept = (F.col("node") == F.col("kept_node")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
     ids = docs.select("doc_id", "node")
     return ids.join(by_node, "node").select("doc_id", "node", "class_id", kept.alias("kept"))
