@@ -1,15 +1,18 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-Blocks are the lines of a text and its paragraphs (runs of lines that aren't blank).
-A block matches a template if it holds at least ``threshold`` of the template's
-distinct words. Words are ordered by the number of documents that hold them, rarest
-first, counted over all documents. A match must share one of the template's first
-``size - ceil(threshold * size) + 1`` words in that order (its prefix), so blocks and
-templates are joined on those. Of the candidates, a block with too few words for any
-match (length) goes, then one whose words from the shared one on can't reach the needed
-number (position); the rest is counted exactly. A block may match several templates. Where
-the words of one license nearly all stand in another, a match counts unless the block holds
-all words that tell the other apart and none that tell this one apart.
+Blocks are the paragraphs of a text (runs of lines that aren't blank). A block matches a
+template if a run of its words, ``RUN_RATIO`` times as long as the template has distinct
+words, holds at least ``threshold`` of these, and with them all that names the license: the
+template's marks, one or more words in a row each (``mit license``, ``gnu general public
+license`` and ``3``). One rule holds for blocks of any length, and a block may match several
+templates.
+
+Words are ordered by the number of documents that hold them, rarest first, counted over all
+documents. A match must share one of the template's first ``size - ceil(threshold * size) + 1``
+words in that order (its prefix), so blocks and templates are joined on those. Of the
+candidates, a block with too few words for any match (length) goes, then one whose words from
+the shared one on can't reach the needed number (position), then one that lacks a word of the
+marks; in the rest every run is counted exactly.
 
 Only words of the templates are looked at, so all that is shuffled are word counts and
 matches. The templates are a fixed list in this module, which bounds what is broadcast.
@@ -28,8 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
-#: Runs of words looked at in paragraphs, as a multiple of the template's distinct words.
-PARAGRAPH_RATIO = 4
+#: Words in a run, as a multiple of the template's distinct words.
+RUN_RATIO = 2
 # Words, what parts them, and the base phrases.
 WORD = r"[0-9a-z\x80-\x{10FFFF}]+"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -41,6 +44,12 @@ PHRASES = {
 }
 # Openings of public license texts and usual one-line notices.
 TEMPLATES = {
+    "agpl-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3",
+        """This program is free software: you can redistribute it and/or modify it under the terms of
+        the GNU Affero General Public License as published by the Free Software Foundation, either
+        version 3 of the License, or (at your option) any later version.""",
+    ],
     "apache-2.0": [
         "Licensed under the Apache License, Version 2.0",
         """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
@@ -52,18 +61,57 @@ TEMPLATES = {
     ],
     "cc-by-nc": ["Licensed under CC BY-NC 4.0"],
     "cc-by-sa": ["Licensed under CC BY-SA 4.0"],
+    "epl-2.0": [
+        """This program and the accompanying materials are made available under the terms of the
+        Eclipse Public License 2.0""",
+    ],
+    "gpl-2.0": [
+        "This work is licensed under the GNU General Public License, version 2",
+        """This program is free software; you can redistribute it and/or modify it under the terms of
+        the GNU General Public License as published by the Free Software Foundation; either version 2
+        of the License, or (at your option) any later version.""",
+    ],
     "gpl-3.0": [
         "This work is licensed under the GNU General Public License, version 3",
         """This program is free software: you can redistribute it and/or modify it under the terms of
         the GNU General Public License as published by the Free Software Foundation, either version 3
         of the License, or (at your option) any later version.""",
     ],
+    "isc": [
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or
+        without fee is hereby granted, provided that the above copyright notice and this permission
+        notice appear in all copies.""",
+    ],
+    "lgpl-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3",
+        """This library is free software: you can redistribute it and/or modify it under the terms of
+        the GNU Lesser General Public License as published by the Free Software Foundation, either
+        version 3 of the License, or (at your option) any later version.""",
+    ],
     "mit-license": ["Released under the MIT License"],
     "mit-permission": [
         """Permission is hereby granted, free of charge, to any person obtaining a copy of this software
         and associated documentation files, to deal in the Software without restriction""",
     ],
     "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "unlicense": ["This is free and unencumbered software released into the public domain."],
+}
+# What names each license, without which no text is under it.
+MARKS = {
+    "agpl-3.0": ["gnu affero general public license", "3"],
+    "apache-2.0": ["apache", "2 0"],
+    "bsd": ["redistribution", "binary", "permitted"],
+    "cc-by-nc": ["cc by", "nc"],
+    "cc-by-sa": ["cc by", "sa"],
+    "epl-2.0": ["eclipse public", "2 0"],
+    "gpl-2.0": ["gnu general public license", "2"],
+    "gpl-3.0": ["gnu general public license", "3"],
+    "isc": ["permission", "fee", "granted"],
+    "lgpl-3.0": ["gnu lesser general public license", "3"],
+    "mit-license": ["mit license"],
+    "mit-permission": ["permission", "free", "charge", "granted"],
+    "mpl-2.0": ["mozilla", "2 0"],
+    "unlicense": ["unencumbered", "public domain"],
 }
 
 
@@ -86,20 +134,6 @@ def template_words() -> dict[tuple[str, int], list[str]]:
     }
 
 
-def look_alikes() -> dict[tuple[str, int], list[tuple[list[str], list[str]]]]:
-    """For each template, the templates of other labels that match it by themselves: its own
-    words that they lack, and their words that it lacks."""
-    words = template_words()
-    return {
-        key: [
-            (sorted(set(own) - set(other)), sorted(set(other) - set(own)))
-            for (label, _), other in words.items()
-            if label != key[0] and len(set(own) & set(other)) >= _needed(own, THRESHOLD)
-        ]
-        for key, own in words.items()
-    }
-
-
 def _needed(words: list[str], threshold: float) -> int:
     return math.ceil(threshold * len(words) - 1e-9)
 
@@ -144,16 +178,15 @@ def word_order(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 
 def _templates(docs: DataFrame, order: DataFrame, threshold: float) -> DataFrame:
-    """(label, number, size, needed, alike, tokens): tokens rarest first."""
-    alike = look_alikes()
+    """(label, number, size, needed, marks, tokens): tokens rarest first."""
     rows = [
-        (label, n, len(words), _needed(words, threshold), alike[label, n], w)
+        (label, n, len(words), _needed(words, threshold), [m.split() for m in MARKS[label]], w)
         for (label, n), words in template_words().items()
         for w in words
     ]
-    schema = "label string, number int, size int, needed int, alike array<struct<own:array<string>,other:array<string>>>, word string"
+    schema = "label string, number int, size int, needed int, marks array<array<string>>, word string"
     ranked = docs.sparkSession.createDataFrame(rows, schema).join(order, "word")
-    return ranked.groupBy("label", "number", "size", "needed", "alike").agg(
+    return ranked.groupBy("label", "number", "size", "needed", "marks").agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("n_docs", "word"))), lambda x: x["word"]
         ).alias("tokens")
@@ -161,12 +194,7 @@ def _templates(docs: DataFrame, order: DataFrame, threshold: float) -> DataFrame
 
 
 def matches(docs: DataFrame, keys: list[str], threshold: float = THRESHOLD) -> DataFrame:
-    """(keys, label, containment) of every block with each license that it matches.
-
-    A long paragraph can hold the words of a one-line notice without being it, so one of more
-    than PARAGRAPH_RATIO times the template's words matches if some run of so many of its
-    words does. Every such run is looked at, but only in paragraphs that match as a whole.
-    """
+    """(keys, label, containment) of every block with each license that it matches."""
     vocabulary = sorted({w for words in template_words().values() for w in words})
     order = word_order(docs, vocabulary)
     templates = _templates(docs, order, threshold)
@@ -176,47 +204,40 @@ def matches(docs: DataFrame, keys: list[str], threshold: float = THRESHOLD) -> D
     # A template's first words alone decide which texts are cut into blocks. No word is
     # outside the vocabulary, whose size bounds this array.
     firsts = prefixes.agg(F.collect_set("word").alias("firsts")).select("firsts").scalar()
-    # Lines with the bound 0 (none), paragraphs of several lines with their number of words.
-    blocks = rf"""concat(
-        transform(array_distinct(split(text, '\n')), x -> named_struct('block', x, 'length', 0)),
-        transform(filter(array_distinct(split(text, '\n[\\x20\\x09-\\x0D]*\n')), x -> contains(x, '\n')),
-            x -> named_struct('block', x, 'length', size({_words('x')}))))"""
+    blocks = r"array_distinct(split(text, '\n[\\x20\\x09-\\x0D]*\n'))"
+    # Of a block only the words of templates are kept, each with its place.
+    placed = f"""filter(transform({_words('block')}, (w, i) -> named_struct('at', i, 'word', w)),
+        h -> array_contains({_strings(vocabulary)}, h.word))"""
     own = (
         docs.where(F.col("text").isNotNull())
         .select(*keys, "text", F.expr(f"array_intersect({_words('text')}, {_strings(vocabulary)})").alias("held"))
         .where(F.arrays_overlap("held", firsts))
-        .select(*keys, F.posexplode(F.expr(blocks)).alias("number_in_text", "x"))
-        .select(
-            *keys,
-            "number_in_text",
-            "x.length",
-            F.expr("CASE WHEN x.length > 0 THEN x.block END").alias("paragraph"),
-            F.expr(f"array_intersect({_words('x.block')}, {_strings(vocabulary)})").alias("held"),
-        )
+        .select(*keys, F.posexplode(F.expr(blocks)).alias("number_in_text", "block"))
+        .select(*keys, "number_in_text", F.expr(placed).alias("hits"))
+        .withColumn("held", F.expr("array_distinct(transform(hits, h -> h.word))"))
     )
     candidates = own.withColumn("word", F.explode("held")).join(F.broadcast(prefixes), "word")
     common = F.size(F.array_intersect("held", "tokens"))
     # Words of the template before the shared one can be matched too, but at most ``place`` of them.
     rest = F.expr("size(array_intersect(held, slice(tokens, place + 1, size)))")
-    # The words that matter of each run that begins with one of them; what matters stands in
-    # order, so a run holds no more of it than its length, and the work grows as the paragraph.
-    span = f"{PARAGRAPH_RATIO} * size"
-    telling = "array_union(tokens, flatten(transform(alike, a -> a.other)))"
-    hits = f"""filter(transform({_words('paragraph')}, (w, i) -> named_struct('at', i, 'word', w)),
-        h -> array_contains({telling}, h.word))"""
-    runs = f"""flatten(transform(array({hits}), hits -> transform(hits, (first, i) -> array_distinct(transform(
-        filter(slice(hits, i + 1, {span}), h -> h.at < first.at + {span}), h -> h.word)))))"""
-    matched = """size(array_intersect(run, tokens)) >= needed AND NOT exists(alike, a ->
-        NOT arrays_overlap(run, a.own) AND size(array_except(a.other, run)) = 0)"""
+    named = F.size(F.array_except(F.flatten("marks"), "held")) == 0
+    # A run begins with a word that matters. What matters stands in order, so a run holds no
+    # more of it than its length, and the work grows as the block.
+    span = f"{RUN_RATIO} * size"
+    runs = f"""flatten(transform(array(filter(hits, h -> array_contains(tokens, h.word))), own ->
+        transform(own, (first, i) -> filter(slice(own, i + 1, {span}), h -> h.at < first.at + {span}))))"""
+    marked = """forall(marks, mark -> exists(run, h -> forall(
+        transform(mark, (w, k) -> named_struct('at', h.at + k, 'word', w)), x -> array_contains(run, x))))"""
+    n_held = "size(array_distinct(transform(run, h -> h.word)))"
     # 0 where no run matches, as ``needed`` is above 0.
     most = F.expr(
-        f"""aggregate(filter(CASE WHEN length > {span} THEN {runs} ELSE array(held) END, run -> {matched}), 0,
-        (most, run) -> greatest(most, size(array_intersect(run, tokens))))"""
+        f"""aggregate(filter({runs}, run -> {n_held} >= needed AND {marked}), 0,
+        (most, run) -> greatest(most, {n_held}))"""
     )
     return (
         candidates.where(F.size("held") >= F.col("needed"))
         .where(F.col("place") + rest >= F.col("needed"))
-        .where(common >= F.col("needed"))
+        .where((common >= F.col("needed")) & named)
         .select(*keys, "number_in_text", "label", (most / F.col("size")).alias("containment"))
         .where("containment > 0")
         .groupBy(*keys, "number_in_text", "label")

@@ -43,7 +43,15 @@ def _quality() -> str:
     n = quality.WINDOW
     window = ", ".join(f"lead(word, {k}) OVER w" for k in range(1, n))
     phrases = " OR ".join(f"contains(lower(line), {_quoted(p)})" for p in quality.BOILERPLATE)
-    end = r"""[.!?:;…。！？؟।]["'’”»)\]]{0,9}$"""
+    closing, blanks = r"""["'’”»)\]]""", r"[\x20\x09-\x0D]"
+    end = f"[.!?:;…。！？؟।]{closing}{{0,9}}$"
+    finished = f"(?s)^.*(?:[.!?:;…؟।]{closing}{{0,9}}(?:{blanks}|$)|[。！？]{closing}{{0,9}})"
+    # Ends of sentences, which RE2 can't look back at, are marked with two controls.
+    after_blank = f"([.!?…؟।]{closing}{{0,9}})({blanks})"
+    full_width = f"([。！？]{closing}*)"
+    chars = "length(regexp_replace({}, '[\\x20\\x09-\\x0D]', '', 'g'))"
+    marked = f"""regexp_replace(regexp_replace(done, {_quoted(full_width)}, '\\1' || chr(1) || chr(2), 'g'),
+        {_quoted(after_blank)}, '\\1' || chr(1) || chr(2) || '\\2', 'g')"""
     marks = "len(regexp_extract_all(line, '[|»›•·]'))"
     symbols = f"len(regexp_extract_all({{}}, '{quality.SYMBOL}'))"
     return f"""
@@ -63,19 +71,26 @@ def _quality() -> str:
     lines AS (
         SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
     judged_lines AS (
-        SELECT doc_id, line, length(regexp_replace(line, '[\\x20\\x09-\\x0D]', '', 'g')) AS chars,
-            NOT regexp_matches(right(rtrim(line), {quality.ENDING}), {_quoted(end)})
-            OR ({marks} >= {rules.menu_marks}
+        SELECT doc_id, line, {chars.format("line")} AS chars, regexp_extract(line, {_quoted(finished)}) AS done,
+            ({marks} >= {rules.menu_marks}
                 AND {marks} > {rules.menu_share} * len(regexp_extract_all(line, '{SPACED}')))
-            OR {symbols.format("line")} > {rules.symbol_share} * length(line)
-            OR {phrases} AS fails
+            OR {symbols.format("line")} > {rules.symbol_share} * length(line) AS furniture,
+            NOT regexp_matches(right(rtrim(line), {quality.ENDING}), {_quoted(end)}) OR {phrases} AS unfinished
         FROM lines),
+    cut_lines AS (
+        SELECT *, furniture OR unfinished AS fails, {chars.format(f"""
+            CASE WHEN {phrases.replace("(line)", "(done)")} THEN array_to_string(list_filter(
+                string_split({marked}, chr(1) || chr(2)), lambda s: NOT ({phrases.replace("(line)", "(s)")})), '')
+            ELSE done END""")} AS rest
+        FROM judged_lines),
     by_line AS (
         SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
             count(*) FILTER (fails) AS n_failed_lines,
             CAST(sum(chars) AS BIGINT) AS word_chars,
-            CAST(coalesce(sum(chars) FILTER (NOT fails), 0) AS BIGINT) AS kept_chars
-        FROM judged_lines WHERE chars > 0 GROUP BY doc_id),
+            CAST(sum(CASE WHEN NOT fails THEN chars WHEN furniture THEN 0
+                WHEN len(regexp_extract_all(line, '{SPACED}')) < {rules.short_line} AND 2 * rest <= chars THEN 0
+                ELSE rest END) AS BIGINT) AS kept_chars
+        FROM cut_lines WHERE chars > 0 GROUP BY doc_id),
     counted AS (
         SELECT d.doc_id, coalesce(len(regexp_extract_all(d.text, '{SPACED}')), 0) AS n_words,
             coalesce(l.word_chars, 0) AS word_chars,
@@ -89,7 +104,8 @@ def _quality() -> str:
         SELECT *, n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeated} * n_words
             AS base_failed FROM counted)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-        NOT base_failed AND kept_chars >= {1 - rules.max_loss} * word_chars AS kept, n_lines, n_failed_lines
+        NOT base_failed AND kept_chars >= {1 - rules.max_loss} * word_chars AS kept, n_lines, n_failed_lines,
+        kept_chars
     FROM based"""
 
 
@@ -137,7 +153,8 @@ def _licenses() -> str:
         for p, label in licenses.PHRASES.items()
     )
     rows = ", ".join(
-        f"({_quoted(label)}, {k}, [{', '.join(map(_quoted, words))}])"
+        f"({_quoted(label)}, {k}, [{', '.join(map(_quoted, words))}], "
+        f"[{', '.join(_quoted(' ' + m + ' ') for m in licenses.MARKS[label])}])"
         for (label, k), words in licenses.template_words().items()
     )
     lowered = LOWER.format("block")
@@ -156,28 +173,23 @@ def _licenses() -> str:
     base AS (
         SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
             list_sort(list(DISTINCT label)) AS labels FROM places GROUP BY doc_id),
-    templates AS (SELECT * FROM (VALUES {rows}) AS t(label, number, tokens)),
+    templates AS (SELECT * FROM (VALUES {rows}) AS t(label, number, tokens, marks)),
     blocks AS (
-        SELECT DISTINCT doc_id, 0 AS whole, unnest(string_split(text, chr(10))) AS block FROM documents
-        UNION ALL SELECT DISTINCT doc_id, 1, block FROM (
-            SELECT doc_id, unnest(string_split_regex(text, '\\n[\\x20\\x09-\\x0D]*\\n')) AS block FROM documents)
-        WHERE contains(block, chr(10))),
-    held AS (
-        SELECT doc_id, whole, block, list_distinct(regexp_extract_all({lowered}, '{PLAIN}')) AS tokens,
-            CASE whole WHEN 1 THEN len(regexp_extract_all({lowered}, '{PLAIN}')) ELSE 0 END AS length
-        FROM blocks),
+        SELECT row_number() OVER () AS block, doc_id, regexp_extract_all({lowered}, '{PLAIN}') AS held FROM (
+            SELECT doc_id, unnest(string_split_regex(text, '\\n[\\x20\\x09-\\x0D]*\\n')) AS block FROM documents)),
     alike AS (
-        SELECT h.doc_id, h.whole, h.block, t.label,
-            len(list_intersect(h.tokens, t.tokens)) / len(t.tokens) AS containment
-        FROM held h JOIN templates t ON h.length <= {licenses.PARAGRAPH_RATIO} * len(t.tokens)
-        WHERE len(list_intersect(h.tokens, t.tokens)) >= ceil({licenses.THRESHOLD} * len(t.tokens) - 1e-9)),
-    best AS (
-        SELECT doc_id, label, containment FROM alike
-        QUALIFY row_number() OVER (
-            PARTITION BY doc_id, whole, block ORDER BY containment DESC, label DESC) = 1),
+        SELECT h.doc_id, h.held, t.* FROM blocks h
+        JOIN templates t ON len(list_intersect(h.held, t.tokens)) >= ceil({licenses.THRESHOLD} * len(t.tokens) - 1e-9)),
+    spans AS (
+        SELECT doc_id, label, tokens, marks, held[i:i + {licenses.RUN_RATIO} * len(tokens) - 1] AS run
+        FROM (SELECT *, unnest(range(1, len(held) + 1)) AS i FROM alike) WHERE list_contains(tokens, held[i])),
+    matched AS (
+        SELECT doc_id, label, len(list_intersect(run, tokens)) / len(tokens) AS containment FROM spans
+        WHERE len(list_intersect(run, tokens)) >= ceil({licenses.THRESHOLD} * len(tokens) - 1e-9)
+            AND len(list_filter(marks, lambda m: contains(' ' || array_to_string(run, ' ') || ' ', m))) = len(marks)),
     found AS (
         SELECT doc_id, list(DISTINCT label) AS labels, max(containment) AS containment
-        FROM best GROUP BY doc_id)
+        FROM matched GROUP BY doc_id)
     SELECT d.doc_id, coalesce(len(regexp_extract_all({LOWER.format("d.text")}, '{PLAIN}')), 0) AS n_words,
         coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word,
         coalesce(array_to_string(b.labels, ','), '') AS base_labels,

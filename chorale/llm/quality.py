@@ -131,8 +131,7 @@ def _repeated_words() -> str:
 def judged(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text") -> DataFrame:
     """``docs`` with ``clean_text`` and what the rules found: ``n_words``, ``word_chars``,
     ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``n_lines``, ``n_failed_lines``,
-    ``kept_chars`` (word characters that stay), ``base_failed``, ``kept`` and
-    ``kept_by_lines``, the verdict if all of each failed line were lost."""
+    ``kept_chars`` (word characters that stay), ``base_failed`` and ``kept``."""
     joined = ", ".join(f"get(__words, CAST(i + {k} AS INT))" for k in range(WINDOW))
     added = {
         "__words": f"regexp_extract_all(coalesce(`{text}`, ''), '{WORD}', 0)",
@@ -167,17 +166,14 @@ def judged(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text")
         "n_lines": "CAST(size(__full_lines) AS BIGINT)",
         "n_failed_lines": f"CAST(size(filter(__lines, x -> {failed_line})) AS BIGINT)",
         "kept_chars": f"aggregate(__left, 0L, (total, line) -> total + coalesce({_chars('line')}, 0))",
-        "__whole_chars": f"aggregate(__lines, 0L, (total, x) -> total + IF({failed_line}, 0L, x.chars))",
         "clean_text": rf"CASE WHEN `{text}` IS NOT NULL THEN array_join(__left, '\n') END",
     }
     docs = docs.withColumns({k: F.expr(v) for k, v in found.items()})
     docs = docs.drop("__words", "__has_phrase", "__lines", "__left", "__windows", "__full_lines")
     failed = f"n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeated} * n_words"
     docs = docs.withColumn("base_failed", F.expr(failed))
-    verdict = "NOT base_failed AND {} >= " + f"{1 - rules.max_loss} * word_chars"
-    verdicts = {"kept": "kept_chars", "kept_by_lines": "__whole_chars"}
-    docs = docs.withColumns({k: F.expr(verdict.format(v)) for k, v in verdicts.items()})
-    return docs.drop("__whole_chars")
+    verdict = f"NOT base_failed AND kept_chars >= {1 - rules.max_loss} * word_chars"
+    return docs.withColumn("kept", F.expr(verdict))
 
 
 def cleaned(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:

@@ -58,11 +58,7 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    """Line-first cleaning of all documents: word counts, base rules and verdict.
-
-    The verdict is the one of the query's SQL, by whole lines; ``quality.cleaned`` and with
-    it the pipeline go by what failed within them.
-    """
+    """Line-first cleaning of all documents: word counts, base rules, what stays and verdict."""
     docs = quality.judged(_table(spark, folder, "documents"))
     return docs.select(
         "doc_id",
@@ -72,9 +68,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        F.col("kept_by_lines").alias("kept"),
+        "kept",
         "n_lines",
         "n_failed_lines",
+        "kept_chars",
     )
 
 
