@@ -37,9 +37,10 @@ from chorale.session import ship_package
 
 # Elements by kind.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "template", "svg", "math"}
+DRAWN = {"svg", "math"}
 DROPPED = RAW | {
     "head", "nav", "footer", "aside", "form", "button", "select", "input", "menu", "dialog", "object",
-    "audio", "video", "canvas", "map", "fieldset", "label", "option", "datalist", "header",
+    "audio", "video", "canvas", "map", "fieldset", "option", "datalist", "header",
 }
 VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
@@ -63,6 +64,14 @@ KINDS = {
     "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe",
     "subscription", "toc", "toolbar", "topbar", "widget", "header",
 }
+# Words that go with a kind and leave it one (``ad-slot``, ``nav-left``).
+FRAMES = {
+    "area", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "col", "column", "container",
+    "content", "desktop", "fixed", "floating", "form", "global", "group", "holder", "icon", "icons", "inline",
+    "inner", "item", "items", "large", "left", "link", "links", "list", "main", "media", "mobile", "outer", "page",
+    "panel", "primary", "right", "row", "secondary", "section", "site", "slot", "small", "space", "sticky", "text",
+    "title", "top", "unit", "wide", "wrap", "wrapper", "zone",
+}
 CONTENT = {"article", "main"}
 # Elements whose id may be an anchor to their text, and those that part content.
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -105,8 +114,9 @@ def _kind(name: str, rest: str, inside: bool) -> str:
     """``dropped`` for what is no content by its class, id or role, or hidden; ``lowered``
     where a part of these says so; else empty.
 
-    What a class or id is about is the whole of it or its first word: ``ad-slot`` is an
-    advert, ``has-sidebar`` no sidebar. In content, an id is an anchor unless it is a kind.
+    A class or id is of a kind if that is its first word and all others are kinds or frames of
+    one: ``ad-slot`` is an advert, ``has-sidebar`` no sidebar, and ``share-price`` is about
+    prices. In content, an id is an anchor unless it is a kind.
     """
     found = _attributes(rest)
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or _NONE.search(found.get("style", "")):
@@ -123,7 +133,8 @@ def _kind(name: str, rest: str, inside: bool) -> str:
             anchor = anchor or (key == "id" and name in SECTIONS and inside and len(token) > 1)
             if anchor:
                 continue
-            if token[0] in KINDS and not (token[0] == "header" and own_header):
+            own = token[0] == "header" and own_header
+            if token[0] in KINDS and not own and all(t in KINDS or t in FRAMES for t in token):
                 return "dropped"
             lowered = True
     return "lowered" if lowered else ""
@@ -169,9 +180,19 @@ def _implied(stack: _Open, name: str) -> None:
         stack.pop()
 
 
-def _after_raw(page: str, name: str, at: int) -> int:
-    end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-    return end.end() if end else len(page)
+def _after_raw(page: str, name: str, rest: str, at: int) -> int:
+    """Where a raw element whose tag ends at ``at`` ends.
+
+    Drawings and formulas that close themselves, or never close, end at once. Others that
+    close themselves do so unless an end tag follows before another one opens.
+    """
+    again = re.compile(rf"<(/?){re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE)
+    closed = rest.endswith("/")
+    if closed:
+        following = again.search(page, at)
+        return following.end() if following and following[1] and name not in DRAWN else at
+    end = next((m for m in again.finditer(page, at) if m[1]), None)
+    return end.end() if end else at if name in DRAWN else len(page)
 
 
 def _with_content(page: str) -> dict[int, bool]:
@@ -199,7 +220,7 @@ def _with_content(page: str) -> dict[int, bool]:
             cut()
             continue
         if name in RAW:
-            at = _after_raw(page, name, at)
+            at = _after_raw(page, name, rest, at)
             continue
         _implied(stack, name)
         cut()
@@ -250,7 +271,7 @@ def pieces(page: str) -> list[Piece]:
                 out.append(Piece(f"/{name}", block=name in BLOCKS, labelled=labelled, share=share()))
             continue
         if name in RAW:
-            at = _after_raw(page, name, at)
+            at = _after_raw(page, name, rest, at)
             if dropped_at is None:
                 out.append(Piece("dropped", labelled=labelled, share=share()))
             continue

@@ -67,6 +67,30 @@ def test_no_content_goes_for_a_word_in_its_attributes():
         assert html_text.main_text(f"<body><article>{body}</article>{piece}</body>") == expected, piece
 
 
+def test_nothing_is_lost_for_drawings_labels_and_names_that_begin_like_a_kind():
+    text = "A sentence with quite enough words to be content, number {}."
+    body = "".join(f"<p>{text.format(k)}</p>" for k in range(4))
+    expected = "\n\n".join(text.format(k) for k in range(4))
+    for piece, said in {
+        '<p>Icon <svg class="i"/> after the icon.</p>': "Icon after the icon.",
+        "<p>Sum <math/> of all.</p>": "Sum of all.",
+        "<p>Icon <svg class='i'><title>no</title></svg> after it.</p>": "Icon after it.",
+        "<p>Icon <svg class='i'> never closed.</p>": "Icon never closed.",
+        '<script src="a.js"/><p>After the script.</p>': "After the script.",
+        "<script src='a.js'/>no()</script><p>After the script.</p>": "After the script.",
+        '<p class="notice-period">Three months are usual.</p>': "Three months are usual.",
+        '<div class="share-price">Shares rose by a tenth.</div>': "Shares rose by a tenth.",
+        "<p>It reads <label>this here</label> as said.</p>": "It reads this here as said.",
+    }.items():
+        page = f"<body><article>{body}{piece}{body}</article></body>"
+        assert html_text.main_text(page) == f"{expected}\n\n{said}\n\n{expected}", piece
+    page = f'<body><div class="search-results-analysis">{body}</div><footer>All rights reserved.</footer></body>'
+    assert html_text.main_text(page) == expected
+    for name in ("ad-slot", "cookie-notice", "nav-left", "share-buttons", "newsletter-signup-form", "comment-list"):
+        page = f'<body><article>{body}<div class="{name}">Words that are not content here.</div></article></body>'
+        assert html_text.main_text(page) == expected, name
+
+
 def test_references_white_space_and_broken_markup():
     page = "<article><p>Fish &amp; chips &lt;b&gt;\n\t caf&eacute;&nbsp;x</p><p>un<b>brok</b>en<br>line <i>open<p>next &copy"
     assert html_text.main_text(page) == "Fish & chips <b> café x\n\nunbroken line open\n\nnext ©"
