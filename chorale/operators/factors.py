@@ -6,7 +6,7 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chorale.columns import ITEM, ITEM_INDEX, PLAYS, POSITION, USER, USER_INDEX
@@ -105,6 +105,56 @@ def predict_all(model: ALSModel, indexed: DataFrame) -> DataFrame:
     return scored.withColumn("prediction", F.when(~F.isnan(prediction), prediction))
 
 
+def step_residuals(model: ALSModel, indexed: DataFrame, params: FactorParams) -> DataFrame:
+    """(user_index, residual): how far each user's factors are from the best ones for the items'.
+
+    The last half of the last iteration solves, for each user, least squares under the bound
+    that no factor is below zero: over all items with weight 1, and over the user's own with
+    weights and targets from the plays. At the solution the slope is zero along factors above
+    zero and not below zero along the others. ``residual`` is the largest slope that is not so,
+    as a share of the largest pull of the user's items. ``indexed`` is what was fitted.
+    """
+    rank = model.rank
+    items = model.itemFactors.select(
+        F.col("id").alias(ITEM_INDEX), F.col("features").cast("array<double>").alias("y")
+    )
+    users = model.userFactors.select(
+        F.col("id").alias(USER_INDEX), F.col("features").cast("array<double>").alias("x")
+    )
+    # Products of the items' factors, summed over all items: rank x rank numbers.
+    row = items.select("y", F.posexplode("y").alias("j", "a"))
+    cell = row.select("j", F.posexplode(F.transform("y", lambda v: v * F.col("a"))).alias("k", "p"))
+    sums = {(r.j, r.k): r.p for r in cell.groupBy("j", "k").agg(F.sum("p").alias("p")).collect()}
+    gram = F.array(*[F.array(*[F.lit(sums.get((j, k), 0.0)) for k in range(rank)]) for j in range(rank)])
+    own = indexed.select(USER_INDEX, ITEM_INDEX, F.col(PLAYS).cast("double").alias("plays"))
+    pairs = own.join(items, ITEM_INDEX).join(users, USER_INDEX)
+    weight = F.lit(params.alpha) * F.abs("plays")
+    target = F.when(F.col("plays") > 0, 1 + weight).otherwise(0.0)
+    pairs = pairs.withColumn("target", target).withColumn("pull", weight * _product("x", "y") - F.col("target"))
+    per_user = pairs.groupBy(USER_INDEX).agg(
+        F.count(F.when(F.col("plays") > 0, 1)).alias("n_played"),
+        F.array(*[F.sum(F.get("y", F.lit(j)) * F.col("pull")) for j in range(rank)]).alias("pulls"),
+        F.array(*[F.sum(F.get("y", F.lit(j)) * F.col("target")) for j in range(rank)]).alias("targets"),
+    )
+    ridge = F.lit(params.reg) * F.col("n_played")
+    slopes = F.transform(
+        F.arrays_zip(gram.alias("of_all"), "pulls", "x"),
+        lambda f: F.struct(
+            (_product("x", f["of_all"]) + f["pulls"] + ridge * f["x"]).alias("slope"), f["x"].alias("x")
+        ),
+    )
+    wrong = F.transform(slopes, lambda f: F.when(f["x"] > 0, F.abs(f["slope"])).otherwise(F.greatest(-f["slope"], F.lit(0.0))))
+    largest = F.array_max(F.transform("targets", F.abs))
+    return per_user.join(users, USER_INDEX).select(
+        USER_INDEX, (F.array_max(wrong) / F.greatest(largest, F.lit(1e-12))).alias("residual")
+    )
+
+
+def _product(one: Column | str, other: Column | str) -> Column:
+    products = F.zip_with(one, other, lambda a, b: a * b)
+    return F.aggregate(products, F.lit(0.0), lambda total, value: total + value)
+
+
 def recommend(model: ALSModel, indexed: DataFrame, top_n: int) -> DataFrame:
     """(user_index, recommendations): the best items of every known user in ``indexed``."""
     return model.recommendForUserSubset(indexed.select(USER_INDEX).distinct(), top_n)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,8 @@ from chorale.columns import (
     USER_INDEX,
 )
 from chorale.operators import factors as fa
-from chorale.operators import features, lists, metrics, popularity, prepare, splits
+from chorale.operators import features, item_search, lists, metrics, popularity, prepare, splits
+from chorale.operators.factor_ranks import full_rank_sums
 from chorale.plans import comparison, factors, loading
 from chorale.plans.popularity import run_popularity
 from chorale.session import scratch_path
@@ -515,11 +516,7 @@ def als_item_lists(spark: SparkSession, folder: str) -> DataFrame:
 def als_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """With relevant pairs as the model knows them, and with all of them."""
     model, validation, _ = _fitted(spark, folder)
-    rows = [
-        factors.evaluate_factors(model, validation, KS[0], mode).withColumn("relevant", F.lit(mode))
-        for mode in ("known", "all")
-    ]
-    return rows[0].unionByName(rows[1])
+    return factors.evaluate_both(model, validation, KS[0])
 
 
 def _tuned(spark: SparkSession, folder: str) -> factors.Tuned:
@@ -647,6 +644,116 @@ def compare_popularity(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(reduce(DataFrame.unionByName, rows), *comparison.COMPARED)
 
 
+def _fitted_purchases(spark: SparkSession, folder: str):
+    train, validation = written_sides(spark, adapters.purchases(spark, folder))
+    indexes = factors.written_indexes(fa.train_indexes(train))
+    indexed = fa.index_pairs(train, indexes)
+    return fa.fit_factors(indexed, GRID[0]), indexed, fa.index_pairs(validation, indexes)
+
+
+def als_lists_are_best(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchases, all customers: the listed parts take the first places of the whole ranking.
+
+    Places are counted by another operator, from products with every part.
+    """
+    model, indexed, _ = _fitted_purchases(spark, folder)
+    best = tables.materialize(
+        spark, scratch_path(spark, "lists"), lambda: item_search.best_items(model, indexed, KS[0])
+    )
+    sums = full_rank_sums(model, best.select(USER_INDEX, ITEM_INDEX))
+    first_places = F.col("n_ranked") * (F.col("n_ranked") + 1) / 2
+    ordered = best.groupBy(USER_INDEX).agg(F.max(POSITION).alias("last_pos"), F.count_distinct(ITEM_INDEX).alias("n"))
+    sound = (F.col("position_sum") == first_places) & (F.col("first_position") == 1) & (F.col("n") == F.col("last_pos"))
+    return sums.join(ordered, USER_INDEX).groupBy(F.col("n_ranked").cast("int").alias("n_listed")).agg(
+        F.count(F.lit(1)).alias("n_users"), F.min(sound).alias("are_best")
+    )
+
+
+def als_metrics_recomputed(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchases: the metrics of the model, and whether they come out the same from its written
+    lists by the plain formulas, one row per hit."""
+    model, _, checked = _fitted_purchases(spark, folder)
+    k = KS[0]
+    known = fa.predict(model, checked)
+    listed = tables.materialize(
+        spark, scratch_path(spark, "lists"), lambda: item_search.best_items(model, known, k)
+    )
+    hits = known.join(listed, [USER_INDEX, ITEM_INDEX], "left")
+    nth = F.row_number().over(Window.partitionBy(USER_INDEX).orderBy(F.asc_nulls_last(POSITION)))
+    hits = hits.withColumn("nth", F.when(F.col(POSITION).isNotNull(), nth))
+    error = F.col(PLAYS) - F.col("prediction")
+    users = hits.groupBy(USER_INDEX).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(POSITION).alias("found"),
+        F.coalesce(F.sum(F.col("nth") / F.col(POSITION)), F.lit(0.0)).alias("precise"),
+        F.coalesce(F.sum(1 / F.log2(F.col(POSITION) + 1)), F.lit(0.0)).alias("gain"),
+        F.sum(error * error).alias("square"),
+    )
+    best = F.aggregate(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int")), F.lit(0.0), lambda s, p: s + 1 / F.log2(p + 1))
+    plain = users.agg(
+        F.count(F.lit(1)).alias("n_users"),
+        F.avg(F.col("precise") / F.least("n", F.lit(k))).alias("map"),
+        F.avg(F.col("found") / k).alias("precision"),
+        F.avg(F.col("gain") / best).alias("ndcg"),
+        F.avg(F.col("found") / F.col("n")).alias("recall"),
+        F.sqrt(F.sum("square") / F.sum("n")).alias("rmse"),
+    )
+    names = ["map", "precision", "ndcg", "recall", "rmse"]
+    other = plain.select("n_users", *[F.col(n).alias(f"plain_{n}") for n in names])
+    same = [F.abs(F.col(n) - F.col(f"plain_{n}")) <= 1e-9 * (1 + F.abs(n)) for n in names]
+    found = factors.evaluate_factors(model, checked, k, "known", listed)
+    return found.join(other, "n_users").select("k", "n_users", reduce(Column.__and__, same).alias("are_same"))
+
+
+def als_fit_is_optimal(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchases: whether each customer's factors are the best ones for those of the parts."""
+    model, indexed, _ = _fitted_purchases(spark, folder)
+    found = fa.step_residuals(model, indexed, GRID[0])
+    return found.agg(F.count(F.lit(1)).alias("n_users"), (F.max("residual") <= 1e-3).alias("is_optimal"))
+
+
+def als_tune_best(spark: SparkSession, folder: str) -> DataFrame:
+    """For each metric that can choose: how many points there are, and whether the chosen one is
+    the best row of the table."""
+    train, validation = written_sides(spark, learned(spark, folder))
+    rows = []
+    for select_by in ("map", "rmse"):
+        tuned = factors.tune(train, validation, GRID, KS[0], PLAY_THRESHOLD, select_by)
+        points = [r.asDict() for r in tuned.results.collect()]
+        best = min(points, key=lambda r: r["rmse"]) if select_by == "rmse" else max(points, key=lambda r: r["map"])
+        chosen = all(getattr(tuned.best, n) == best[n] for n in ("rank", "reg", "alpha", "iterations"))
+        rows.append((select_by, len(points), chosen))
+    return spark.createDataFrame(rows, "select_by string, n_points int, is_best boolean")
+
+
+def edge_check_of_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """The edge check on a table of results made of the order lines: their numbers, discounts, taxes
+    and quantities as parameters, the mean price as what is to be highest."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    results = lines.groupBy(
+        F.col("l_linenumber").cast("int").alias("rank"),
+        F.col("l_discount").cast("double").alias("reg"),
+        F.col("l_tax").cast("double").alias("alpha"),
+        F.floor(F.col("l_quantity") / 10).cast("int").alias("iterations"),
+    ).agg(F.round(F.avg(F.col("l_extendedprice").cast("double")), 6).alias("map"))
+    return factors.edge_check(results)
+
+
+def bounds_vs_exact_top_n(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchases: the search by bounds, whole and with a share of the chunks, beside the model's own."""
+    model, indexed, _ = _fitted_purchases(spark, folder)
+    return comparison.compare_bounds(model, indexed, KS[-1])
+
+
+def bounds_find_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the exact search finds all the model lists with fewer products, and the other 0.9 of it."""
+    found = bounds_vs_exact_top_n(spark, folder).where("method = 'bounds'")
+    # Scores that are equal but for the last digit may change places.
+    exact = F.col("probe").isNull()
+    least = F.when(exact, 0.999).otherwise(0.9)
+    return found.select(exact.alias("is_exact"), (F.col("recall") >= least).alias("finds"), (F.col("scored_share") <= 1).alias("is_less"))
+
+
 def lsh_vs_exact_top_n(spark: SparkSession, folder: str) -> DataFrame:
     model, validation, _ = _fitted(spark, folder)
     return comparison.compare_search(model, validation, KS[0])
@@ -729,6 +836,13 @@ QUERIES: dict[str, Query] = {
         random_rows_cover,
         bernoulli_bounds,
         lsh_vs_exact_top_n,
+        als_lists_are_best,
+        als_metrics_recomputed,
+        als_fit_is_optimal,
+        als_tune_best,
+        edge_check_of_rates,
+        bounds_vs_exact_top_n,
+        bounds_find_all,
     )
 }
 QUERIES["play_counts"] = all_ratings

@@ -18,14 +18,14 @@ from chorale.operators.factors import (
     Indexes,
     fit_factors,
     index_pairs,
+    predict,
     predict_all,
-    ranked_rows,
-    recommend,
     train_indexes,
 )
+from chorale.operators.item_search import best_items
 from chorale.operators.metrics import mean_metrics, user_hits
 from chorale.operators.prepare import min_plays
-from chorale.session import scratch_path
+from chorale.session import Workspace, scratch_path
 from chorale.sources.schemas import TUNING_RESULTS
 from chorale.sources.tables import write_table
 
@@ -57,13 +57,18 @@ def parameter_grid(
 
 
 def evaluate_factors(
-    model: ALSModel, indexed: DataFrame, k: int = 100, relevant: str = "known"
+    model: ALSModel,
+    indexed: DataFrame,
+    k: int = 100,
+    relevant: str = "known",
+    lists: DataFrame | None = None,
 ) -> DataFrame:
     """One row: rmse, map, precision, ndcg, recall at k and n_users.
 
     ``known`` takes as relevant the pairs whose user and item the model knows;
     ``all`` takes every pair, so that unknown users and items count as misses.
-    The error is over the known pairs in both cases.
+    The error is over the known pairs in both cases. ``lists`` are the users' best items where
+    they are there already.
     """
     if relevant not in ("known", "all"):
         raise ValueError(f"relevant must be 'known' or 'all', not {relevant!r}")
@@ -74,10 +79,10 @@ def evaluate_factors(
         F.sum(error * error).alias("square_error"),
         F.count("prediction").alias("n_predicted"),
     ]
+    if lists is None:
+        lists = best_items(model, known, k)
     # Unknown users may share one number, so users are told apart by their id.
-    ranked = ranked_rows(recommend(model, known, k)).join(
-        known.select(USER, USER_INDEX).distinct(), USER_INDEX
-    )
+    ranked = lists.join(known.select(USER, USER_INDEX).distinct(), USER_INDEX)
     pairs = known if relevant == "known" else scored
     per_user = user_hits(pairs, ranked, k, user=USER, item=ITEM_INDEX, extra=extra)
     errors = ["square_error", "n_predicted"]
@@ -87,6 +92,17 @@ def evaluate_factors(
     )
 
 
+def evaluate_both(model: ALSModel, indexed: DataFrame, k: int = 100) -> DataFrame:
+    """Both readings of ``evaluate_factors`` with their name in ``relevant``; items are scored once."""
+    known = predict(model, indexed)
+    lists = Workspace(indexed.sparkSession, "lists").keep(best_items(model, known, k), "best")
+    rows = [
+        evaluate_factors(model, indexed, k, name, lists).withColumn("relevant", F.lit(name))
+        for name in ("known", "all")
+    ]
+    return rows[0].unionByName(rows[1])
+
+
 def written_indexes(indexes: Indexes) -> Indexes:
     """The index tables, written to the shared folder: every later step looks numbers up
     in them, and none should number the items anew."""

@@ -185,6 +185,39 @@ ORACLE: dict[str, str] = {
         f"WITH {SPLIT_PURCHASES} SELECT count(DISTINCT user_id) AS n_users, TRUE AS same_hits,"
         " TRUE AS all_is_stricter FROM tagged WHERE NOT is_train"
     ),
+    "als_lists_are_best": (
+        f"WITH {SPLIT_PURCHASES}, train AS ({counted('tagged', 'is_train')}) SELECT CAST(least({c.KS[0]},"
+        " count(DISTINCT recording_msid)) AS INTEGER) AS n_listed, count(DISTINCT user_id) AS n_users,"
+        " TRUE AS are_best FROM train"
+    ),
+    "als_metrics_recomputed": (
+        f"WITH {SPLIT_PURCHASES}, train AS ({counted('tagged', 'is_train')})"
+        f" SELECT CAST({c.KS[0]} AS INTEGER) AS k, count(DISTINCT user_id) AS n_users, TRUE AS are_same"
+        " FROM tagged WHERE NOT is_train AND user_id IN (SELECT user_id FROM train)"
+        " AND recording_msid IN (SELECT recording_msid FROM train)"
+    ),
+    "als_fit_is_optimal": (
+        f"WITH {SPLIT_PURCHASES} SELECT count(DISTINCT user_id) AS n_users, TRUE AS is_optimal"
+        " FROM tagged WHERE is_train"
+    ),
+    "als_tune_best": (
+        f"SELECT unnest(['map', 'rmse']) AS select_by, CAST({len(c.GRID)} AS INTEGER) AS n_points, TRUE AS is_best"
+    ),
+    "edge_check_of_rates": """
+    WITH results AS (
+        SELECT CAST(l_linenumber AS DOUBLE) AS "rank", CAST(l_discount AS DOUBLE) AS reg,
+            CAST(l_tax AS DOUBLE) AS alpha, CAST(floor(l_quantity / 10) AS DOUBLE) AS iterations,
+            round(avg(CAST(l_extendedprice AS DOUBLE)), 6) AS map FROM lineitem GROUP BY 1, 2, 3, 4),
+    best AS (SELECT * FROM results ORDER BY map DESC, "rank", reg, alpha, iterations LIMIT 1),
+    long AS (UNPIVOT results ON "rank", reg, alpha, iterations INTO NAME parameter VALUE held),
+    chosen AS (UNPIVOT best ON "rank", reg, alpha, iterations INTO NAME parameter VALUE chosen),
+    spans AS (SELECT parameter, min(held) AS low, max(held) AS high, count(DISTINCT held) AS n_values
+        FROM long GROUP BY parameter)
+    SELECT parameter, chosen, low, high, n_values, n_values > 1 AND chosen IN (low, high) AS on_edge
+    FROM chosen JOIN spans USING (parameter)""",
+    "bounds_find_all": (
+        "SELECT unnest([TRUE, FALSE]) AS is_exact, TRUE AS finds, TRUE AS is_less"
+    ),
     "random_rows_cover": (
         "SELECT count(*) AS n_events, CAST(1 AS BIGINT) AS most, TRUE AS is_near FROM events"
     ),

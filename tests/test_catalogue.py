@@ -11,7 +11,7 @@ from chorale.plans.oracle import ORACLE
 TABLES = "region nation customer supplier part orders lineitem events".split()
 QUERIES, SQL = catalogue.QUERIES, ORACLE
 # Fitted afresh by each query and covered in test_factors.
-SLOW = {"als_test", "tune_edge_check", "als_fit_scaling", "compare_models", "als_tune", "lsh_vs_exact_top_n"}
+SLOW = {"als_test", "tune_edge_check", "als_fit_scaling", "compare_models", "als_tune", "lsh_vs_exact_top_n", "bounds_vs_exact_top_n"}
 
 
 @pytest.fixture(scope="module")
