@@ -75,12 +75,14 @@ def mean_metrics(
     n_items: Column | None = None,
     keep: Sequence[str] = (),
     extra: Sequence[Column] = (),
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """One row per k: k, n_users, map, precision, ndcg and recall, averaged over users.
 
     With ``n_items``, the length of the whole ranking, also auc and mrr over the
     users for which they are defined. ``extra`` aggregates are taken over the
-    users' columns ``keep`` in the same pass.
+    users' columns ``keep`` in the same pass. With columns ``by``, one row for each of their
+    values and k.
     """
     names = ["map", "precision", "ndcg", "recall"]
     per_k = F.expr(f"array({', '.join(rm.metrics_at(k) for k in ks)})")
@@ -89,11 +91,11 @@ def mean_metrics(
         per_user = per_user.withColumn("n_items", n_items)
         kept += [F.expr(rm.auc()).alias("auc"), F.expr(rm.reciprocal_rank()).alias("mrr")]
         names += ["auc", "mrr"]
-    rows = per_user.select(F.explode(per_k).alias("at"), *kept).select(
-        "at.*", *keep, *names[4:]
+    rows = per_user.select(F.explode(per_k).alias("at"), *by, *kept).select(
+        "at.*", *by, *keep, *names[4:]
     )
     means = [F.avg(name).alias(name) for name in names]
-    return rows.groupBy("k").agg(F.count(F.lit(1)).alias("n_users"), *means, *extra)
+    return rows.groupBy(*by, "k").agg(F.count(F.lit(1)).alias("n_users"), *means, *extra)
 
 
 def ranking_metrics(

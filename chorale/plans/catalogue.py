@@ -467,6 +467,36 @@ def split_stability(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(result, *_metric_names(result))
 
 
+def split_stability_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean and standard error of the metrics over the splits, on purchases."""
+    ratings = prepare.play_counts(adapters.purchases(spark, folder))
+    replicates = comparison.split_stability(ratings, SEEDS, KS, DAMPING, USER_THRESHOLD)
+    result = comparison.stability_errors(replicates)
+    return result.withColumns({c: F.round(c, 6) for c in result.columns if c not in ("k", "n_splits")})
+
+
+def popularity_from_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Listens of each item from two tables of daily states, written one after the other, and
+    whether the number of users is near the exact one and the same as from one table."""
+    events = listens(spark, folder)
+    early = F.col(TIME) < F.lit(TEST_FROM).cast("timestamp_ntz")
+    path = scratch_path(spark, "daily-states")
+    popularity.daily_state(events.where(early)).write.parquet(path)
+    popularity.daily_state(events.where(~early)).write.mode("append").parquet(path)
+    found = popularity.scores_of_days(spark.read.parquet(path), DAMPING, 1)
+    whole = popularity.scores_of_days(popularity.daily_state(events), DAMPING, 1)
+    exact = popularity.popularity_scores(all_ratings(spark, folder), DAMPING, 1)
+    users = F.col("user_count")
+    rows = (
+        found.join(exact.select(ITEM, users.alias("n_exact")), ITEM)
+        .join(whole.select(ITEM, users.alias("n_whole")), ITEM)
+        # Five standard errors.
+        .withColumn("is_near", F.abs(users - F.col("n_exact")) <= 0.5 + 5 * 0.0163 * F.col("n_exact"))
+    )
+    same = F.abs(users - F.col("n_whole")) <= 0.5 + 0.01 * F.col("n_whole")
+    return rows.select(ITEM, "listen_count", "is_near", same.alias("is_same"))
+
+
 # --- factor model -------------------------------------------------------------------
 
 
@@ -843,6 +873,8 @@ QUERIES: dict[str, Query] = {
         edge_check_of_rates,
         bounds_vs_exact_top_n,
         bounds_find_all,
+        split_stability_errors,
+        popularity_from_days,
     )
 }
 QUERIES["play_counts"] = all_ratings

@@ -9,9 +9,10 @@ from chorale.operators.prepare import clean_interactions, play_counts, sample_ro
 from chorale.operators.splits import prepare_test, tag_by_user_time
 from chorale.sources.tables import (
     Dataset,
-    is_written,
+    build_once,
     load_ratings,
     load_split,
+    manifest,
     materialize,
     read_interactions,
     write_files,
@@ -30,19 +31,25 @@ def prepare(
 ) -> dict[str, DataFrame]:
     """The counted tables ``train``, ``validation`` and ``test``.
 
-    What is written already with the same ratio is read; the rest is built, written and read. Unless
-    told otherwise by ``with_test``, there is a test table for full data only.
+    What is written already from the same input files and with the same ratio is read; the rest
+    is built, written and read. Unless told otherwise by ``with_test``, there is a test table for
+    full data only.
     """
-    split = data.split(ratio)
-    if not is_written(spark, split):
-        interactions = read_interactions(spark, data.input("interactions"))
-        write_split(split_ratings(interactions, ratio), split)
+    split, events = data.split(ratio), data.input("interactions")
+    build_once(
+        spark,
+        split,
+        manifest(spark, [events], ratio=ratio),
+        lambda: write_split(split_ratings(read_interactions(spark, events), ratio), split),
+    )
     tables = {side: load_split(spark, split, side) for side in ("train", "validation")}
     if data.has_test if with_test is None else with_test:
+        held_out = data.input("interactions", "test")
         materialize(
             spark,
             data.test,
-            lambda: prepare_test(read_interactions(spark, data.input("interactions", "test"))),
+            lambda: prepare_test(read_interactions(spark, held_out)),
+            manifest(spark, [held_out]),
         )
         tables["test"] = load_ratings(spark, data.test)
     return tables

@@ -185,6 +185,18 @@ ORACLE: dict[str, str] = {
         f"WITH {SPLIT_PURCHASES} SELECT count(DISTINCT user_id) AS n_users, TRUE AS same_hits,"
         " TRUE AS all_is_stricter FROM tagged WHERE NOT is_train"
     ),
+    "split_stability_errors": f"WITH {PURCHASES}, ratings AS ({counted('purchases')}), replicates AS ("
+    + " UNION ALL ".join(stability(s) for s in c.SEEDS)
+    + ") SELECT k, count(*) AS n_splits, "
+    + ", ".join(
+        f'round(avg("{m}"), 6) AS "{m}", round(stddev_samp("{m}") / sqrt(count(*)), 6) AS {m}_error'
+        for m in ("map", "precision", "ndcg", "recall")
+    )
+    + " FROM replicates GROUP BY k",
+    "popularity_from_days": (
+        f"WITH {LISTENS} SELECT recording_msid, count(user_id) AS listen_count, TRUE AS is_near, TRUE AS is_same"
+        " FROM listens WHERE recording_msid IS NOT NULL GROUP BY recording_msid HAVING count(user_id) > 0"
+    ),
     "als_lists_are_best": (
         f"WITH {SPLIT_PURCHASES}, train AS ({counted('tagged', 'is_train')}) SELECT CAST(least({c.KS[0]},"
         " count(DISTINCT recording_msid)) AS INTEGER) AS n_listed, count(DISTINCT user_id) AS n_users,"

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,15 +81,78 @@ def write_files(df: DataFrame, path: str, n_files: int = 1) -> None:
     spread.write.mode("overwrite").parquet(path)
 
 
-def is_written(spark: SparkSession, path: str) -> bool:
-    """Whether a finished write lies at ``path`` (it leaves a success mark)."""
-    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return mark.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(mark)
+MANIFEST = "_inputs.json"
+
 
+def _where(spark: SparkSession, path: str, name: str | None = None):
+    """The file system of a path, and the path (or ``name`` in it)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    found = hadoop(path) if name is None else hadoop(path, name)
+    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), found
 
-def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table at ``path``; ``build`` is called and written there only if it is missing."""
-    if not is_written(spark, path):
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a finished write lies at ``path`` (it leaves a success mark)."""
+    files, mark = _where(spark, path, "_SUCCESS")
+    return files.exists(mark)
+
+
+def manifest(spark: SparkSession, inputs: Sequence[str], **parameters: object) -> str:
+    """What a table is made from: each input file with its size and time, and parameters."""
+    listed = []
+    for path in inputs:
+        files, root = _where(spark, path)
+        found = files.listFiles(root, True)
+        while found.hasNext():
+            file = found.next()
+            listed.append([file.getPath().toString(), file.getLen(), file.getModificationTime()])
+    return json.dumps({"inputs": sorted(listed), "parameters": parameters}, sort_keys=True, default=str)
+
+
+def _read_manifest(spark: SparkSession, path: str) -> str | None:
+    files, file = _where(spark, path, MANIFEST)
+    if not files.exists(file):
+        return None
+    stream = files.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _write_manifest(spark: SparkSession, path: str, text: str) -> None:
+    files, file = _where(spark, path, MANIFEST)
+    stream = files.create(file, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def is_current(spark: SparkSession, path: str, made_from: str) -> bool:
+    """Whether a finished write at ``path`` was made from just that (see ``manifest``)."""
+    return is_written(spark, path) and _read_manifest(spark, path) == made_from
+
+
+def build_once(spark: SparkSession, path: str, made_from: str, build: Callable[[], None]) -> bool:
+    """Calls ``build``, which writes ``path``, unless what is there was made from the same
+    inputs and parameters; true if it was called. The manifest is written last, so a write
+    that broke off is made anew."""
+    if is_current(spark, path, made_from):
+        return False
+    build()
+    _write_manifest(spark, path, made_from)
+    return True
+
+
+def materialize(
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], made_from: str | None = None
+) -> DataFrame:
+    """The table at ``path``; ``build`` is called and written there only if it is missing, or,
+    with ``made_from``, if it was made from anything else."""
+    if made_from is not None:
+        build_once(spark, path, made_from, lambda: write_table(build(), path))
+    elif not is_written(spark, path):
         write_table(build(), path)
     return spark.read.parquet(path)
 

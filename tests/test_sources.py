@@ -2,6 +2,7 @@ import os
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chorale import __main__ as command
@@ -150,3 +151,45 @@ def test_the_small_variant_has_no_test_table(spark, tmp_path, folder):
     loaded = loading.prepare(spark, Dataset(root, str(tmp_path / "work"), "small"))
     assert set(loaded) == {"train", "validation"}
     assert isinstance(loaded["train"].schema["play_count"].dataType, T.LongType)
+
+
+def test_changed_input_is_built_again_and_unchanged_is_not(spark, tmp_path):
+    source, path, built = str(tmp_path / "in"), str(tmp_path / "out"), []
+
+    def current(**parameters):
+        def build():
+            built.append(parameters)
+            return spark.read.parquet(source)
+
+        return tables.materialize(spark, path, build, tables.manifest(spark, [source], **parameters)).count()
+
+    spark.range(5).write.parquet(source)
+    assert [current(ratio=0.8), current(ratio=0.8), len(built)] == [5, 5, 1]
+    assert [current(ratio=0.7), current(ratio=0.7), len(built)] == [5, 5, 2]
+    spark.range(4).write.mode("append").parquet(source)
+    assert [current(ratio=0.7), current(ratio=0.7), len(built)] == [9, 9, 3]
+    # The same rows in other files are another input; a write that broke off is made anew.
+    spark.range(9).coalesce(1).write.mode("overwrite").parquet(source)
+    assert [current(ratio=0.7), len(built)] == [9, 4]
+    os.remove(f"{path}/{tables.MANIFEST}")
+    assert [current(ratio=0.7), len(built)] == [9, 5]
+    os.remove(f"{path}/_SUCCESS")
+    assert [current(ratio=0.7), len(built)] == [9, 6]
+
+
+def test_prepared_tables_follow_their_inputs(spark, tmp_path, folder):
+    root = str(tmp_path / "in")
+    write_inputs(spark, root, folder, small=False)
+    data = Dataset(root, str(tmp_path / "work"))
+    first = {name: table.count() for name, table in loading.prepare(spark, data).items()}
+    split = f"{data.split(0.8)}/_SUCCESS"
+    made = os.stat(split).st_mtime_ns
+    again = {name: table.count() for name, table in loading.prepare(spark, data).items()}
+    assert again == first and os.stat(split).st_mtime_ns == made
+    more = adapters.events_as_listens(spark, folder).where("timestamp < '2024-01-25'").limit(50)
+    more.withColumn("event_id", F.col("event_id") + 10**9).withColumn("user_id", F.lit(10**6).cast("bigint")).write.mode(
+        "append"
+    ).parquet(data.input("interactions"))
+    grown = loading.prepare(spark, data)
+    assert grown["train"].where("user_id = 1000000").count() > 0
+    assert grown["test"].count() == first["test"]
