@@ -13,8 +13,8 @@ from chorale.operators.skew import POSITION as PLACE
 from chorale.operators.skew import day_of, with_global_positions
 
 SCORE = "avg_listen_per_user"
-# A sketch has 2^bits cells of six bits: 3 kB, and a standard error of 1.6 percent.
-SKETCH_BITS = 12
+# So many hashes at most in a sketch: 32 kB, and a standard error of 1.6 percent above.
+SKETCH_SIZE = 4096
 
 
 def popularity_scores(
@@ -40,37 +40,59 @@ def popularity_scores(
     )
 
 
-def daily_state(events: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
-    """(day, item, listens, users): what the scores need of each day's events, users as a sketch.
+def daily_state(events: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """(day, item, listens, users): what the scores need of each day's events.
 
-    States of other days are added with ``unionByName`` or written beside each other; none of the
-    events they come from is needed again.
+    ``users`` is a sketch, the ``size`` least hashes of the day's users. States of other days are
+    added with ``unionByName`` or written beside each other; none of the events they come from
+    is needed again.
     """
-    return (
-        events.groupBy(day_of(events, TIME).alias("day"), ITEM)
-        .agg(F.count(USER).alias("listens"), F.hll_sketch_agg(USER, F.lit(bits)).alias("users"))
-    )
+    pairs = events.groupBy(day_of(events, TIME).alias("day"), ITEM, USER).agg(F.count(USER).alias("n"))
+    listens = pairs.groupBy("day", ITEM).agg(F.sum("n").alias("listens"))
+    hashes = pairs.where(F.col(USER).isNotNull()).select("day", ITEM, F.xxhash64(USER).alias("hash"))
+    return _joined(listens, _least_hashes(hashes, ["day", ITEM], size), ["day", ITEM])
 
 
 def scores_of_days(
-    states: DataFrame, damping_factor: float = 100, user_threshold: int = 30
+    states: DataFrame,
+    damping_factor: float = 100,
+    user_threshold: int = 30,
+    size: int = SKETCH_SIZE,
 ) -> DataFrame:
-    """``popularity_scores`` from daily states, however they are cut into tables.
+    """``popularity_scores`` from daily states, the same however they are cut into tables.
 
-    Listens are exact. The number of users is the sketch's estimate, whose standard error is
-    1.04 / sqrt(2^bits) of it at most; so is the error of threshold and score.
+    Listens are exact, and so is the number of users below ``size``. From there on it is estimated
+    from the largest of the least hashes, with a standard error of 1 / sqrt(size - 2) of it; so is
+    the error of threshold and score.
     """
+    listens = states.groupBy(ITEM).agg(F.sum("listens").alias("listen_count"))
+    hashes = states.select(ITEM, F.explode("users").alias("hash")).distinct()
+    merged = _joined(listens, _least_hashes(hashes, [ITEM], size), [ITEM])
+    # Hashes are spread evenly from -2^63 to 2^63.
+    largest = (F.element_at("users", -1).cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    estimate = F.when(F.size("users") < size, F.size("users")).otherwise(F.round((size - 1) / largest))
     return (
-        states.groupBy(ITEM)
-        .agg(
-            F.sum("listens").alias("listen_count"),
-            F.hll_sketch_estimate(F.hll_union_agg("users")).alias("user_count"),
-        )
+        merged.select(ITEM, "listen_count", F.coalesce(estimate, F.lit(0)).cast("bigint").alias("user_count"))
         .where(F.col("user_count") >= user_threshold)
         .withColumn(SCORE, F.col("listen_count") / (F.col("user_count") + F.lit(damping_factor)))
     )
 
 
+def _least_hashes(hashes: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """(keys, users): the least of the distinct hashes of each key, in order. The bound on the row
+    number keeps each task's own before they are shuffled."""
+    least = Window.partitionBy(*keys).orderBy("hash")
+    held = hashes.withColumn("place", F.row_number().over(least)).where(F.col("place") <= size)
+    return held.groupBy(*keys).agg(F.sort_array(F.collect_list("hash")).alias("users"))
+
+
+def _joined(listens: DataFrame, users: DataFrame, keys: list[str]) -> DataFrame:
+    """Both beside each other; a key may be null."""
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys]
+    both = listens.alias("l").join(users.alias("u"), same, "left")
+    return both.select("l.*", F.coalesce("u.users", F.array().cast("array<bigint>")).alias("users"))
+
+
 def popularity_top(scores: DataFrame, top_n: int = 100) -> DataFrame:
     """The ``top_n`` best items with their ``pos`` from 1; equal scores go by item."""
     best_first = [F.desc(SCORE), F.asc(ITEM)]

@@ -493,8 +493,7 @@ def popularity_from_days(spark: SparkSession, folder: str) -> DataFrame:
         # Five standard errors.
         .withColumn("is_near", F.abs(users - F.col("n_exact")) <= 0.5 + 5 * 0.0163 * F.col("n_exact"))
     )
-    same = F.abs(users - F.col("n_whole")) <= 0.5 + 0.01 * F.col("n_whole")
-    return rows.select(ITEM, "listen_count", "is_near", same.alias("is_same"))
+    return rows.select(ITEM, "listen_count", "is_near", (users == F.col("n_whole")).alias("is_same"))
 
 
 # --- factor model -------------------------------------------------------------------

@@ -28,15 +28,16 @@ def test_days_give_the_whole_within_the_sketches_error(spark, tmp_path):
     for day in range(10):
         one = all_events.where(F.floor(F.col("timestamp") / 86_400) == day)
         popularity.daily_state(one).write.mode("append").parquet(path)
-    added = rows_of(popularity.scores_of_days(spark.read.parquet(path), user_threshold=1))
-    whole = rows_of(popularity.scores_of_days(popularity.daily_state(all_events), user_threshold=1))
-    assert added.keys() == whole.keys() == exact.keys()
-    for item, (n_listens, n_users) in exact.items():
-        assert added[item][0] == whole[item][0] == n_listens
-        for found in (added[item][1], whole[item][1]):
-            assert abs(found - n_users) <= 0.5 + 5 * 1.04 / 2 ** (popularity.SKETCH_BITS / 2) * n_users
-        assert abs(added[item][1] - whole[item][1]) <= 0.01 * n_users + 0.5
-    assert added["rare"] == (2, 1)
+    for size in (64, 4096):
+        whole = rows_of(popularity.scores_of_days(popularity.daily_state(all_events, size), 100, 1, size))
+        if size == 4096:
+            states = spark.read.parquet(path)
+            assert rows_of(popularity.scores_of_days(states, user_threshold=1)) == whole == exact
+        assert whole.keys() == exact.keys() and whole["rare"] == (2, 1)
+        for item, (n_listens, n_users) in exact.items():
+            assert whole[item][0] == n_listens
+            assert abs(whole[item][1] - n_users) <= 5 * n_users / (size - 2) ** 0.5
+    assert exact["i0"][1] > 20 * 64
 
 
 def test_thresholds_and_empty_states(spark):
