@@ -118,7 +118,8 @@ def _ordered(before: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.nd
 
 
 def count_pairs(docs: DataFrame, hot: np.ndarray, n_shards: int) -> DataFrame:
-    """Packed counts: one row for each shard and some millions of tokens."""
+    """Packed counts: for some millions of tokens one row for each shard they have pairs in, and
+    an empty row for every shard, so that each has files."""
 
     def count(word: np.ndarray, before: np.ndarray) -> pa.RecordBatch:
         before, word, n = _ordered(before, word, np.ones(len(word), dtype=np.int64))
@@ -126,16 +127,20 @@ def count_pairs(docs: DataFrame, hot: np.ndarray, n_shards: int) -> DataFrame:
         order = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[order], np.arange(n_shards + 1))
         rows = []
-        for k in range(n_shards):
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
             own = order[cuts[k] : cuts[k + 1]]
             firsts, runs = np.unique(before[own], return_counts=True)
             packed = (firsts, runs.astype(np.uint32), word[own], n[own].astype(np.uint32))
             rows.append((k, *(x.tobytes() for x in packed)))
-        return pa.record_batch([pa.array(x) for x in zip(*rows, strict=True)], names=names)
+        columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+        kinds = [pa.int64(), *[pa.binary()] * 4]
+        return pa.record_batch([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=names)
 
     names = ["shard", "firsts", "runs", "words", "counts"]
     schema = "shard long, firsts binary, runs binary, words binary, counts binary"
-    return docs.select("text").mapInArrow(lambda b: _flushed(b, count), schema)
+    nothing = [F.lit(b"").alias(c) for c in names[1:]]
+    every = docs.sparkSession.range(n_shards).select(F.col("id").alias("shard"), *nothing)
+    return docs.select("text").mapInArrow(lambda b: _flushed(b, count), schema).unionByName(every)
 
 
 def save(folder: str, name: str, values: np.ndarray) -> None:
@@ -188,9 +193,11 @@ def _write_pairs(packed: DataFrame, folder: str) -> DataFrame:
 
 
 def _write_words(words: DataFrame, folder: str, n_shards: int) -> None:
-    """Writes the words' numbers as sorted arrays, dealt to files by hash."""
+    """Writes the words' numbers as sorted arrays, dealt to files by hash; a shard that no word is
+    in has empty ones."""
 
     def write(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
+        rows = rows.filter(rows["word"].is_valid())
         keys = rows["word"].to_numpy().view(np.uint64)
         order = np.argsort(keys)
         save(folder, f"words-{key[0].as_py()}.keys", keys[order])
@@ -200,7 +207,9 @@ def _write_words(words: DataFrame, folder: str, n_shards: int) -> None:
 
     # Words are hashes already; their low bits deal them evenly.
     shard = F.pmod("word", F.lit(n_shards))
+    every = words.sparkSession.range(n_shards).select(F.col("id").alias("shard"))
     dealt = words.select(shard.alias("shard"), "word", *WORD_COLUMNS)
+    dealt = dealt.unionByName(every, allowMissingColumns=True)
     written = dealt.groupBy("shard").applyInArrow(write, "shard long").count()
     assert written <= n_shards
 
@@ -230,11 +239,20 @@ class Model:
     word_rest: float
 
     def _maps(self, stem: str, columns: dict[str, type]) -> list[np.ndarray]:
-        """One shard's arrays, or empty ones where it has no file."""
-        path = os.path.join(self.folder, stem)
-        if not os.path.exists(f"{path}.keys") or not os.path.getsize(f"{path}.keys"):
-            return [np.zeros(0, kind) for kind in columns.values()]
-        return [np.memmap(f"{path}.{c}", dtype=kind, mode="r") for c, kind in columns.items()]
+        """One shard's arrays. A file that is missing or cut off is an error: without it, words
+        would count as never seen."""
+        found, lengths = [], set()
+        for column, kind in columns.items():
+            path = os.path.join(self.folder, f"{stem}.{column}")
+            try:
+                n, over = divmod(os.path.getsize(path), np.dtype(kind).itemsize)
+            except FileNotFoundError as error:
+                raise RuntimeError(f"model file {path} is missing here; is its folder mounted?") from error
+            lengths.add(n)
+            if over or len(lengths) > 1:
+                raise RuntimeError(f"model file {path} has not the length of the others")
+            found.append(np.memmap(path, dtype=kind, mode="r") if n else np.zeros(0, kind))
+        return found
 
     def _find(self, stem: str, columns: dict[str, type], shard: np.ndarray, keys: np.ndarray) -> list:
         """The columns' values for each key, 0 where it isn't there. Shards are opened one by one."""

@@ -1,7 +1,9 @@
 import math
+import os
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from chorale.llm import kneser_ney as kn
@@ -94,6 +96,37 @@ def test_nothing_to_learn_from(spark):
     assert {r.score for r in kn.scored(docs, model).collect()} == {0.0}
 
 
+def test_missing_or_cut_files_are_an_error(spark, folder, monkeypatch):
+    monkeypatch.setattr(kn, "WORDS_PER_SHARD", 500)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").limit(40)
+    model = kn.fit(docs, 50_000)
+    texts = pa.array([r.text for r in docs.collect()])
+    scores = model.score(texts)[3]
+    names = {n.split(".")[0] for n in os.listdir(model.folder)}
+    # Each shard has files, whether anything is in it or not.
+    assert {f"pairs-{k}" for k in range(model.pair_files)} | {f"words-{k}" for k in range(model.word_files)} == names
+    for name in ("pairs-0.keys", "pairs-0.counts", "words-1.keys", f"words-1.{kn.WORD_COLUMNS[2]}"):
+        path = os.path.join(model.folder, name)
+        held = open(path, "rb").read()
+        with open(path, "wb") as file:
+            file.write(held[:-8])
+        with pytest.raises(RuntimeError, match="length"):
+            model.score(texts)
+        os.rename(path, f"{path}-away")
+        with pytest.raises(RuntimeError, match="missing"):
+            model.score(texts)
+        with open(path, "wb") as file:
+            file.write(held)
+    assert (model.score(texts)[3] == scores).all()
+
+
+def test_flushes_write_no_rows_for_shards_without_pairs(spark):
+    docs = spark.createDataFrame([(k, f"word{k} other{k}") for k in range(20)], "doc_id long, text string")
+    rows = kn.count_pairs(docs.repartition(5), kn.np.array([int(kn.BEGIN)], kn.np.uint64), 1000).collect()
+    full = [r for r in rows if r.words]
+    assert len(rows) - len(full) == 1000 and len(full) <= 60
+
+
 def test_odd_rows(spark):
     found = kn.report(odd.table(spark)).collect()
     assert len(found) == len(odd.rows())

@@ -1,7 +1,9 @@
+import hashlib
 import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from chorale.llm import sharding
 from tests.llm import odd
@@ -53,6 +55,44 @@ def _keys_to_shards(counts, ring):
     }
 
 
+def _walked(counts, ring):
+    """Key by key: in each turn every key that has no shard yet, in ring order, asks the next
+    different shard that stands clockwise from its slot, and is taken if there is room."""
+    points = {}
+    for shard in range(ring.shards):
+        for point in range(ring.points):
+            digest = hashlib.blake2b(f"{shard}/{point}".encode(), digest_size=8).digest()
+            points.setdefault(int.from_bytes(digest) % ring.slots, []).append(shard)
+    clockwise = [
+        list(dict.fromkeys(s for step in range(ring.slots) for s in sorted(points.get((slot + step) % ring.slots, []))))
+        for slot in range(ring.slots)
+    ]
+    room = list(ring.capacities(int(counts.sum())))
+    waiting, found = [(slot, k) for slot, n in enumerate(counts) for k in range(n)], {}
+    for turn in range(ring.shards):
+        left = []
+        for key in waiting:
+            shard = clockwise[key[0]][turn]
+            if room[shard]:
+                room[shard] -= 1
+                found[key] = shard
+            else:
+                left.append(key)
+        waiting = left
+    assert not waiting
+    return found
+
+
+@pytest.mark.parametrize("slack", [0.0, 0.1, 0.5])
+def test_keys_go_where_a_walk_key_by_key_takes_them(slack):
+    draw = np.random.default_rng(7)
+    for shards, points in ((1, 1), (3, 2), (7, 5)):
+        ring = sharding.Ring(shards, points=points, slots=256, slack=slack)
+        counts = np.bincount(draw.integers(0, 256, 900) ** 2 // 256, minlength=256)
+        counts[17] += 400  # one slot holds a third of all
+        assert _keys_to_shards(counts, ring) == _walked(counts, ring)
+
+
 def test_with_slack_loads_are_bounded_and_a_new_shard_moves_little():
     counts = np.bincount(np.random.default_rng(3).integers(0, 4096, 40_000), minlength=4096)
     old, new = (_keys_to_shards(counts, sharding.Ring(n, slots=4096, slack=0.25)) for n in (12, 13))
