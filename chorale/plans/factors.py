@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import itertools
+import math
 import time
 from collections.abc import Iterable, Sequence
-from dataclasses import asdict, dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, replace
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -127,12 +129,19 @@ def tune(
     index_users: bool = True,
     seed: int = 1,
     blocks: int | None = None,
+    workers: int = 1,
+    halvings: int = 0,
 ) -> Tuned:
     """Fit and score every grid point and keep the best by ``select_by``.
 
-    The points run one after the other, each as a distributed fit; the driver
-    holds one row of numbers per point. ``rmse`` is better when lower, the
-    other metrics when higher.
+    Up to ``workers`` points run side by side, each as a distributed fit in a scheduler pool of
+    its own (with ``spark.scheduler.mode`` FAIR they share the executors evenly); the driver holds one
+    row of numbers per point, and the results are those of one after the other. ``rmse`` is better
+    when lower, the other metrics when higher.
+
+    With ``halvings``, all points are first tried with ``iterations / 2^halvings``, the worse half is
+    given up, and the rest goes on with twice as many until the last round fits in full; only
+    points of the last round are in the results.
     """
     kept_train = min_plays(train, play_threshold)
     indexes = written_indexes(train_indexes(kept_train, index_users))
@@ -140,29 +149,47 @@ def tune(
     indexed_validation = index_pairs(min_plays(validation, play_threshold), indexes).persist(
         StorageLevel.MEMORY_AND_DISK
     )
-    rows, best, best_score, best_model = [], None, None, None
+    context = train.sparkSession.sparkContext
+
+    def run(number: int, params: FactorParams) -> tuple[dict, ALSModel]:
+        context.setLocalProperty("spark.scheduler.pool", f"point-{number}")
+        started = time.perf_counter()
+        model = fit_factors(indexed_train, params, seed, blocks)
+        fitted = time.perf_counter()
+        scores = evaluate_factors(model, indexed_validation, k).first()
+        row = {
+            **asdict(params),
+            **(scores.asDict() if scores else {}),
+            "fit_seconds": fitted - started,
+            "evaluate_seconds": time.perf_counter() - fitted,
+        }
+        return row, model
+
+    def run_all(points: Sequence[FactorParams]) -> list[tuple[dict, ALSModel]]:
+        # Filled before, so that points do not fill the cache at the same time.
+        indexed_train.count(), indexed_validation.count()
+        with ThreadPoolExecutor(max(1, workers)) as pool:
+            jobs = [pool.submit(inheritable_thread_target(run), n, point) for n, point in enumerate(points)]
+            return [job.result() for job in jobs]
+
     try:
-        for params in grid:
-            started = time.perf_counter()
-            model = fit_factors(indexed_train, params, seed, blocks)
-            fitted = time.perf_counter()
-            scores = evaluate_factors(model, indexed_validation, k).first()
-            evaluated = time.perf_counter()
-            row = {
-                **asdict(params),
-                **(scores.asDict() if scores else {}),
-                "fit_seconds": fitted - started,
-                "evaluate_seconds": evaluated - fitted,
-            }
-            rows.append([row.get(name) for name in TUNING_RESULTS.names])
-            score = _goodness(row, select_by)
-            if best_score is None or score > best_score:
-                best, best_score, best_model = params, score, model
+        points = list(grid)
+        for left in range(halvings, 0, -1):
+            short = [replace(p, iterations=max(1, p.iterations >> left)) for p in points]
+            scores = [_goodness(row, select_by) for row, _ in run_all(short)]
+            ranked = sorted(range(len(points)), key=lambda n: (-scores[n], n))
+            points = [points[n] for n in sorted(ranked[: math.ceil(len(points) / 2)])]
+        found = run_all(points)
     finally:
         indexed_train.unpersist()
         indexed_validation.unpersist()
+    # The first of equally good points, as they stand in the grid.
+    best = max(range(len(points)), key=lambda n: (_goodness(found[n][0], select_by), -n), default=None)
+    rows = [[row.get(name) for name in TUNING_RESULTS.names] for row, _ in found]
     results = train.sparkSession.createDataFrame(rows, TUNING_RESULTS)
-    return Tuned(results, best, best_model, indexes)
+    if best is None:
+        return Tuned(results, None, None, indexes)
+    return Tuned(results, points[best], found[best][1], indexes)
 
 
 def _goodness(row: dict, select_by: str) -> float:

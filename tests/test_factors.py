@@ -232,3 +232,26 @@ def test_wide_buckets_find_everything_and_narrow_ones_score_less(ratings, fitted
     assert wide.recall == 1.0 and wide.scored_share == 1.0
     assert narrow.scored_share > fine.scored_share
     assert many.recall > fine.recall and narrow.recall < 1.0
+
+
+def test_points_side_by_side_give_the_same_table(spark, ratings, validation):
+    grid = factors.parameter_grid([2, 3], [0.05], [0.1, 1.0], [2, 4])
+
+    def table(tuned):
+        shown = [c for c in tuned.results.columns if not c.endswith("seconds")]
+        return [tuple(r) for r in tuned.results.select(*shown).collect()]
+
+    alone = factors.tune(ratings, validation, grid, 5, 1, blocks=2)
+    together = factors.tune(ratings, validation, grid, 5, 1, blocks=2, workers=4)
+    assert [pytest.approx(r) for r in table(alone)] == table(together)
+    assert alone.best == together.best == max(zip(grid, table(alone), strict=True), key=lambda x: x[1][alone.results.columns.index("map")])[0]
+
+
+def test_halving_keeps_the_better_half(spark, ratings, validation, monkeypatch):
+    grid = factors.parameter_grid([2, 3], [0.05], [0.1, 1.0], [8])
+    fitted = []
+    fit = factors.fit_factors
+    monkeypatch.setattr(factors, "fit_factors", lambda df, p, *a: fitted.append(p) or fit(df, p, *a))
+    tuned = factors.tune(ratings, validation, grid, 5, 1, blocks=2, halvings=2)
+    assert [p.iterations for p in fitted] == [2] * 4 + [4] * 2 + [8]
+    assert tuned.best == fitted[-1] and tuned.results.count() == 1 and tuned.best.iterations == 8
