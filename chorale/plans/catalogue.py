@@ -771,7 +771,7 @@ def edge_check_of_rates(spark: SparkSession, folder: str) -> DataFrame:
 def bounds_vs_exact_top_n(spark: SparkSession, folder: str) -> DataFrame:
     """Purchases: the search by bounds, whole and with a share of the chunks, beside the model's own."""
     model, indexed, _ = _fitted_purchases(spark, folder)
-    return comparison.compare_bounds(model, indexed, KS[-1])
+    return comparison.compare_bounds(model, indexed, KS[0])
 
 
 def bounds_find_all(spark: SparkSession, folder: str) -> DataFrame:
