@@ -10,9 +10,6 @@ from chorale.operators.metrics import relevant_pairs
 from chorale.operators.skew import POSITION as KEY_POSITION
 from chorale.operators.skew import with_positions
 
-# So many first characters of an item put it into a slice of its user's list.
-SLICE_CHARS = 8
-
 
 def relevant_lists(df: DataFrame, list_rows: int = 100_000) -> DataFrame:
     """(user, part, actual): each user's items in order, ``list_rows`` to a part from 0.
@@ -20,8 +17,7 @@ def relevant_lists(df: DataFrame, list_rows: int = 100_000) -> DataFrame:
     A list does not grow without bound; the parts joined in order are the list.
     """
     pairs = relevant_pairs(df)
-    first_letters = F.substring(ITEM, 1, SLICE_CHARS)
-    placed = with_positions(pairs, [USER], [ITEM], first_letters, distinct=True)
+    placed = with_positions(pairs, [USER], [ITEM], distinct=True)
     part = F.floor((F.col(KEY_POSITION) - 1) / list_rows).alias("part")
     lists = placed.groupBy(USER, part).agg(F.array_sort(F.collect_list(ITEM)).alias("actual"))
     return lists.select(USER, "part", "actual")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chorale.columns import EVENT, IS_TRAIN, ITEM, TIME, USER
 from chorale.functions.hashing import unit_hash
 from chorale.operators.prepare import clean_interactions, play_counts
-from chorale.operators.skew import KEY_ROWS, POSITION, day_of, with_positions
+from chorale.operators.skew import KEY_ROWS, POSITION, with_positions
 
 
 def tag_by_user_time(df: DataFrame, ratio: float = 0.8) -> DataFrame:
@@ -20,7 +20,7 @@ def tag_by_user_time(df: DataFrame, ratio: float = 0.8) -> DataFrame:
     ids hold no row twice.
     """
     known = df.where(F.col(USER).isNotNull())
-    placed = with_positions(known, [USER], [TIME, ITEM], day_of(known, TIME), EVENT in df.columns)
+    placed = with_positions(known, [USER], [TIME, ITEM], EVENT in df.columns)
     threshold = F.floor(F.col(KEY_ROWS) * F.lit(ratio)).cast("bigint")
     return placed.withColumn(IS_TRAIN, F.col(POSITION) <= threshold).drop(POSITION, KEY_ROWS)
 

@@ -6,7 +6,13 @@ from pyspark.sql import functions as F
 
 from chorale.functions.search import count_at_most
 from chorale.operators import skew
-from chorale.operators.skew import day_of, with_global_positions, with_key_rows, with_positions
+from chorale.operators.skew import (
+    day_of,
+    with_earlier,
+    with_global_positions,
+    with_key_rows,
+    with_positions,
+)
 
 
 def skewed_rows(seed=3):
@@ -27,22 +33,61 @@ def expected_positions(rows):
 
 
 @pytest.mark.parametrize("copy_run", [4, 100_000])
-@pytest.mark.parametrize("width", [1, 5, 1000])
-def test_positions_equal_brute_force(spark, monkeypatch, width, copy_run):
+@pytest.mark.parametrize("pieces", [1, 9, 64])
+def test_positions_equal_brute_force(spark, monkeypatch, pieces, copy_run):
     monkeypatch.setattr(skew, "COPY_RUN", copy_run)
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "user int, time int, item string")
-    got = with_positions(df, ["user"], ["time"], F.floor(F.col("time") / width)).collect()
+    got = with_positions(df, ["user"], ["time"], pieces=pieces).collect()
     assert sorted(tuple(r) for r in got) == expected_positions(rows)
 
 
 def test_positions_of_rows_without_copies(spark):
     rows = sorted(set(skewed_rows()))
     df = spark.createDataFrame(rows, "user int, time int, item string")
-    got = with_positions(df, ["user"], ["time"], F.col("time"), distinct=True).collect()
+    got = with_positions(df, ["user"], ["time"], distinct=True, pieces=16).collect()
     assert sorted(tuple(r) for r in got) == expected_positions(rows)
 
 
+def plain_earlier(rows):
+    """Sum, total and greatest value of the earlier rows of a key, row by row."""
+    found, sums, greatest, totals = [], {}, {}, {}
+    for key, _, n in rows:
+        totals[key] = totals.get(key, 0) + n
+    for key, place, n in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        found.append((key, place, n, sums.get(key, 0), totals[key], greatest.get(key)))
+        sums[key] = sums.get(key, 0) + n
+        greatest[key] = max(greatest.get(key, n), n)
+    return found
+
+
+@pytest.mark.parametrize("pieces", [1, 16, 300])
+def test_sums_and_maxima_of_earlier_rows(spark, pieces):
+    draw = random.Random(11)
+    rows = [(draw.choice([None, 1, 1, 1, 2, 3]), k, draw.randrange(1, 50)) for k in range(400)]
+    df = spark.createDataFrame(rows, "key int, place int, n int")
+    got = with_earlier(df, ["key"], ["place"], {"so_far": "n"}, {"greatest": "n"}, pieces).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, plain_earlier(rows)))
+    none = with_earlier(df.limit(0), ["key"], ["place"], {"so_far": "n"}, pieces=pieces)
+    assert none.collect() == [] and none.columns == [*df.columns, "so_far", "so_far_total"]
+
+
+def test_one_second_of_one_user_is_spread_over_tasks(spark):
+    """A third of all rows are one user's in one second; no window holds a good part of them."""
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("user"),
+        F.lit(7).alias("time"),
+        F.col("id").alias("event"),
+    )
+    placed = with_positions(df, ["user"], ["time"], distinct=True, pieces=64)
+    hot = placed.where("user = 0").orderBy("event").collect()
+    assert [r.position for r in hot] == list(range(1, 10_001))
+    assert {r.key_rows for r in hot} == {10_000}
+    sliced = skew._sliced(df, ["user"], ["time", "event"], 64)
+    slices = [r["count"] for r in sliced.groupBy("user", "__slice").count().collect()]
+    assert sum(slices) == 30_000 and max(slices) < 10_000 / 4
+
+
 def test_days_rise_with_times_of_all_kinds(spark):
     df = spark.sql(
         "SELECT id * 7000 AS seconds, timestamp_seconds(id * 7000) AS at, to_date(timestamp_seconds(id * 7000)) AS day,"
