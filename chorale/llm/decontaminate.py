@@ -7,9 +7,11 @@ word. Rarity is counted over all documents. Documents are joined with the prefix
 that word; where the window would begin and end bounds the candidates by position and
 by length; each candidate is compared with the window word for word.
 
-Items' words and windows are gone through in blocks of at most ``block_words`` words, so
-what a task holds of the benchmark is bounded whatever its size: a larger benchmark takes
-more passes over the documents, all in one job. Documents are never shuffled.
+Items' words and windows are made in blocks of about ``block_words`` words, so the driver
+holds one block's numbers at a time; rarity takes a pass over the documents for each block,
+and one more pass looks for all windows. In that pass each worker holds all blocks, some 80
+bytes for a word of the benchmark: the operator is for benchmarks that fit a worker (a
+hundred million words take 8 GB), not for comparing corpora. Documents are never shuffled.
 
 Defined results for odd input: a null text has no words, in documents as in items; an
 item without words occurs nowhere; equal items all count by their ids, a null id as an

@@ -9,8 +9,9 @@ at the first that is large enough and goes on to the next while they conflict, s
 gets the tightest bin it may go into, or a new one.
 
 Documents are dealt by hash into groups of about ``group_rows``, whatever their source or
-cluster, and each group is packed by itself: memory is bounded by a group's numbers, texts
-are not moved, and what a group leaves unfilled is small beside its hundreds of bins.
+cluster, and each group is packed by itself: memory is bounded by a group's numbers, equal
+rows go out in runs of ``copy_run``, each run to another group. Texts are not moved, and what
+a group leaves unfilled is small beside its hundreds of bins.
 
 Defined results for odd input: a null text is empty; a document without words is in no
 bin (null) with a length of 0; a null source is a source; pieces of one length go in the
@@ -39,6 +40,7 @@ class Packing:
     capacity: int = 2048
     per_source: int = 2
     group_rows: int = 4096
+    copy_run: int = 64
 
 
 class Bins:
@@ -132,8 +134,15 @@ def packed(rows: DataFrame, packing: Packing = Packing()) -> DataFrame:
     are counted first, to know the number of groups.
     """
     ship_package(rows.sparkSession)
+    rows = rows.select("doc_id", "source", "cluster", "n_words")
     n_groups = max(1, math.ceil(rows.count() / packing.group_rows))
-    group = F.pmod(F.xxhash64("doc_id", "cluster", "source"), F.lit(n_groups))
+    # Equal rows are counted, and each run of them is dealt as one: to the next group.
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    runs = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {packing.copy_run}"))
+    in_run = F.least(F.col("copies") - F.col("run") * packing.copy_run, F.lit(packing.copy_run))
+    rows = counted.withColumn("run", F.explode(runs)).withColumn("in_run", in_run)
+    place = F.pmod(F.xxhash64("doc_id", "cluster", "source"), F.lit(n_groups)) + F.col("run")
+    group = F.pmod(place, F.lit(n_groups))
     dealt = rows.select(
         group.alias("pack_group"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -141,9 +150,11 @@ def packed(rows: DataFrame, packing: Packing = Packing()) -> DataFrame:
         "cluster",
         "n_words",
         F.expr(f"n_words % {packing.capacity}").alias("rest"),
+        "in_run",
     )
 
     def pack(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        own = own.loc[own.index.repeat(own["in_run"])]
         return pack_group(own, packing).assign(pack_group=int(key[0]))
 
     schema = "pack_group long, doc_id long, piece long, start_word long, length long, bin long, bin_offset long"

@@ -11,7 +11,7 @@ their begin. The work has three steps, and each hashes again what it needs:
    these extend the match to the full length, and are exact up to 64-bit hashes of words;
 3. words covered by a window found again are cut.
 
-Texts are dealt into chunks of a few megabytes by a hash of id and text. All that is sent
+Texts are dealt into chunks of a few megabytes by a hash of id, text and input partition. All that is sent
 besides is (hash, chunk, how often): equal hashes of a chunk are one row, so a passage in
 a third of all documents is one row for each chunk. No document meets another one.
 
@@ -121,6 +121,14 @@ def _cut(texts: pa.Array, words: Words, gone: np.ndarray) -> list[bytes | None]:
     return out
 
 
+def _dealt(docs: DataFrame, key: str, n_chunks: int) -> DataFrame:
+    """``docs`` with ``__chunk``. Rows equal in id and text differ in the part of the input that
+    they are read from, which is the same when a task is repeated; so the copies that meet in a
+    chunk are no more than one such part holds."""
+    place = F.xxhash64(key, "text", F.spark_partition_id())
+    return docs.withColumn("__chunk", F.pmod(place, F.lit(n_chunks)))
+
+
 def deduplicated(
     docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHUNK_BYTES, key: str = "doc_id"
 ) -> DataFrame:
@@ -136,8 +144,7 @@ def deduplicated(
     n_chunks = max(1, math.ceil(text_bytes(docs) / chunk_bytes))
     docs = docs.drop("n_words", "n_removed")
     names = docs.columns
-    place = F.pmod(F.xxhash64(key, "text"), F.lit(n_chunks))
-    dealt = docs.withColumn("__chunk", place)
+    dealt = _dealt(docs, key, n_chunks)
     counted = "hash long, chunk long, n int"
 
     def count_anchors(rows: pa.Table) -> pa.Table:

@@ -99,3 +99,17 @@ def test_odd_rows(spark):
     assert +lengths == +expected
     assert sum(r.bin_id is None for r in found) == 3
     assert packing.packed(packing.measured(odd.table(spark).limit(0))).collect() == []
+
+
+def test_equal_rows_are_spread_over_groups(spark):
+    """A third of all rows are equal: no group holds a good part of them, and none is lost."""
+    p = packing.Packing(capacity=100, group_rows=100, copy_run=8)
+    rows = [(None, "s", "c", 30) if k % 3 == 0 else (k, f"s{k % 40}", f"c{k}", k % 90 + 1) for k in range(6000)]
+    facts = spark.createDataFrame(rows, "doc_id long, source string, cluster string, n_words long")
+    found = packing.packed(facts, p).collect()
+    assert Counter(r.doc_id for r in found) == Counter(r[0] for r in rows)
+    assert sum(r.length for r in found) == sum(r[3] for r in rows)
+    copies = [r for r in found if r.doc_id is None]
+    assert len({r.bin_id for r in copies}) == len(copies) == 2000
+    groups = Counter(r.bin_id >> 32 for r in found)
+    assert max(groups.values()) < 3 * p.group_rows

@@ -1,6 +1,7 @@
 """Benchmark windows and repeated passages."""
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -132,3 +133,19 @@ def test_gaps_around_a_passage_stay(spark):
     rows = [(1, f"Head.\n\n{odd.PASSAGE}\n\nTail."), (2, odd.PASSAGE)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.text for r in substrings.deduplicated(docs).collect()} == {1: "Head.\n\nTail.", 2: ""}
+
+
+def test_equal_rows_are_spread_over_chunks(spark):
+    """A third of all rows have no id and one text; they don't meet in one chunk, each is cut as
+    any other, and the three steps read one shuffle of the texts."""
+    copy = " ".join(f"same{k}" for k in range(40))
+    rows = [(None, copy) if k % 3 == 0 else (k, f"{k} own words {k * 7}") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(30)
+    spread = substrings._dealt(docs, "doc_id", 50).where("doc_id IS NULL").groupBy("__chunk").count()
+    assert max(r["count"] for r in spread.collect()) < 1000 / 4
+    found = substrings.deduplicated(docs, chunk_bytes=2000)
+    cut = sorted((r.doc_id or -1, r.n_words, r.n_removed, r.text) for r in found.collect())
+    assert cut[:1000] == [(-1, 40, 40, "")] * 1000
+    assert cut[1000:] == [(k, 4, 0, text) for k, text in rows if k is not None]
+    final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"- Exchange hashpartitioning\(__chunk", final)) == 1
