@@ -2,16 +2,20 @@
 
 An item's windows are its runs of ``length`` words; an item with fewer words is one
 window. A window occurs in a document if its words stand there in a row, so all of its
-words must be there: at containment 1 a window's prefix in rarity order is its rarest
-word. Rarity is counted over all documents. Documents are joined with the prefixes on
-that word; where the window would begin and end bounds the candidates by position and
-by length; each candidate is compared with the window word for word.
-
-Items' words and windows are made in blocks of about ``block_words`` words, so the driver
-holds one block's numbers at a time; rarity takes a pass over the documents for each block,
-and one more pass looks for all windows. In that pass each worker holds all blocks, some 80
-bytes for a word of the benchmark: the operator is for benchmarks that fit a worker (a
-hundred million words take 8 GB), not for comparing corpora. Documents are never shuffled.
+shingles (runs of three words, or all of a shorter window) must be there: at containment
+1 a window's prefix in rarity order is its rarest shingle. Rarity is counted over all
+documents. Places of documents that may hold a prefix are joined with the shapes of its
+windows, which say where a window would begin and end: those that leave the text go by
+position and length, and the words of the others are joined with the windows' words.
+
+Items, windows, rarities and places are DataFrames; neither the driver nor a task holds
+the benchmark. What goes to all workers is a bit filter of ``filter_longs`` numbers, 8 MB
+at any size of the benchmark. It only spares rows: one that is too small for the
+benchmark lets more places through to the join, and the result is the same. Equal items
+and equal texts are looked at once, places of equal texts are put together before they
+are joined, and a shingle has one row of shapes, so hot texts and hot shingles multiply
+nothing. Documents are read and never shuffled for the search; ``marked`` and
+``without_contaminated`` join them with what was found by a digest of the text.
 
 Defined results for odd input: a null text has no words, in documents as in items; an
 item without words occurs nowhere; equal items all count by their ids, a null id as an
@@ -21,201 +25,276 @@ of the result replace those of the same name.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from chorale.llm.words import PLAIN, Words, slices, words_of
-from chorale.session import ship_package
+from chorale.llm.words import PLAIN, Words, slices, window_hashes, words_of
+from chorale.session import Workspace, ship_package
 
 LENGTH = 10
-BLOCK_WORDS = 2_000_000
-# Candidates compared at once.
-STEP = 1 << 20
+SHINGLE = 3
+FILTER_LONGS = 1 << 20
+# Places that go out in one batch.
+STEP = 1 << 16
+# The same words as ``PLAIN`` finds, for counting them; A-Z count as letters.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _runs(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all runs ``first, first + 1, ...`` of the given lengths, one after another."""
+    ends = np.cumsum(lengths)
+    return np.repeat(first - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _lists(values: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """For each run the values at its numbers."""
+    edges = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    flat = values[_runs(first, lengths)].view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))
+
+
+def shingled(items: DataFrame, length: int) -> DataFrame:
+    """(item, place, shingle, words) of all shingles of distinct texts; ``item`` is a digest.
+
+    ``words`` are those of the window that begins at ``place``, none where no window does.
+    """
+    ship_package(items.sparkSession)
+    top = min(SHINGLE, length)
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", limit=1 << 20):
+                words = words_of(part.column("text"), PLAIN, lower=True)
+                many = np.diff(words.bounds)
+                for size in range(1, top + 1):
+                    hashes, at = window_hashes(words, size)
+                    n = many[words.text[at]]
+                    own = (n == size) | (n >= size if size == top else False)
+                    hashes, at, n = hashes[own], at[own], n[own]
+                    place = at - words.bounds[words.text[at]]
+                    wide = np.minimum(n, length)
+                    yield pa.record_batch(
+                        [
+                            part.column("item").take(pa.array(words.text[at])),
+                            pa.array(place.astype(np.int64)),
+                            pa.array(np.full(len(at), size, np.int32)),
+                            pa.array(hashes.view(np.int64)),
+                            _lists(words.hashes, at, np.where(place <= n - wide, wide, 0)),
+                        ],
+                        names=["item", "place", "size", "shingle", "words"],
+                    )
+
+    texts = items.where(F.col("text").isNotNull()).select(F.md5("text").alias("item"), "text")
+    texts = texts.groupBy("item").agg(F.first("text").alias("text"))
+    return texts.mapInArrow(
+        shingle, "item string, place long, size int, shingle long, words array<long>"
+    )
 
 
 @dataclass
-class Block:
-    """Distinct windows of some items: their words, and the items that hold each."""
-
-    lengths: np.ndarray
-    words: np.ndarray  # windows x LENGTH word hashes, 0 after a short window's end
-    window: np.ndarray  # pairs of window number and item id
-    item: np.ndarray
-    prefix: np.ndarray | None = None  # the rarest word of each window ...
-    offset: np.ndarray | None = None  # ... and its place in it
-
-
-def blocks_of(items: DataFrame, length: int, block_words: int) -> Iterator[Block]:
-    """The benchmark's windows in blocks; items are dealt to blocks by hash."""
-    n_words = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, math.ceil(n_words / 2 / block_words))
-    for number in range(n_blocks):
-        here = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == number
-        rows = items.where(here & F.col("text").isNotNull()).select("item_id", "text").toArrow()
-        yield _block(rows.combine_chunks(), length)
-
-
-def _block(rows: pa.Table, length: int) -> Block:
-    texts = rows["text"].combine_chunks() if rows.num_rows else pa.array([], pa.string())
-    ids = np.array(["" if i is None else str(i) for i in rows["item_id"].to_pylist()], dtype=object)
-    found = words_of(texts, PLAIN, lower=True)
-    wide, lengths, owner = [], [], []
-    for text in range(len(texts)):
-        own = found.hashes[found.bounds[text] : found.bounds[text + 1]]
-        if len(own) >= length:
-            wide.append(np.lib.stride_tricks.sliding_window_view(own, length))
-        elif len(own):
-            wide.append(np.pad(own, (0, length - len(own)))[None, :])
-        else:
-            continue
-        lengths.append(np.full(len(wide[-1]), min(len(own), length)))
-        owner.append(np.full(len(wide[-1]), text))
-    if not wide:
-        none = np.zeros(0, np.int64)
-        return Block(none, np.zeros((0, length), np.uint64), none, np.zeros(0, object))
-    table = np.column_stack([np.concatenate(lengths).astype(np.uint64), np.concatenate(wide)])
-    distinct, window = np.unique(table, axis=0, return_inverse=True)
-    pairs = np.unique(np.column_stack([window.reshape(-1), np.concatenate(owner)]), axis=0)
-    return Block(distinct[:, 0].astype(np.int64), distinct[:, 1:].copy(), pairs[:, 0], ids[pairs[:, 1]])
-
-
-def count_words(docs: DataFrame, wanted: np.ndarray) -> dict[int, int]:
-    """How often each of the ``wanted`` words occurs in all documents; bounded by a block's words."""
-    known = docs.sparkSession.sparkContext.broadcast(np.sort(wanted))
+class Filter:
+    """Bits of shingles, in ``bits``; which sizes of shingles there are, as bits too."""
+
+    bits: np.ndarray
+    sizes: int
+
+    def places(self, words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(shingle, number of its first word) of all shingles that may be among those given."""
+        for size in range(1, self.sizes.bit_length()):
+            if self.sizes >> size & 1:
+                hashes, at = window_hashes(words, size)
+                row = self.bits[(hashes >> np.uint64(6)) % np.uint64(len(self.bits))]
+                held = np.flatnonzero((row >> (hashes & np.uint64(63))) & np.uint64(1))
+                yield hashes[held], at[held]
+
+
+def filter_of(shingles: DataFrame, filter_longs: int) -> Filter:
+    """A filter of (size, shingle); no more than ``filter_longs`` rows come to the driver."""
+    rows = (
+        shingles.groupBy(F.expr(f"shiftrightunsigned(shingle, 6) % {filter_longs}").alias("at"))
+        .agg(
+            F.expr("bit_or(shiftleft(1L, cast(shingle & 63 AS int)))").alias("bits"),
+            F.expr("bit_or(shiftleft(1, size))").alias("sizes"),
+        )
+        .toArrow()
+    )
+    bits = np.zeros(filter_longs, dtype=np.uint64)
+    bits[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return Filter(bits, int(np.bitwise_or.reduce(rows["sizes"].to_numpy(), initial=0)))
+
+
+def counted(docs: DataFrame, wanted: Filter) -> DataFrame:
+    """(shingle, n): how often shingles that pass the filter stand in all documents."""
+    known = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = known.value
-        totals = np.zeros(len(keys), dtype=np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                hashes = words_of(part.column("text"), PLAIN, lower=True).hashes
-                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-                totals += np.bincount(at[keys[at] == hashes], minlength=len(keys))
-        held = np.flatnonzero(totals)
-        yield pa.record_batch(
-            [pa.array(keys[held].view(np.int64)), pa.array(totals[held])], names=["word", "n"]
-        )
+                words = words_of(part.column("text"), PLAIN, lower=True)
+                for hashes, _ in known.value.places(words):
+                    held, n = np.unique(hashes, return_counts=True)
+                    yield pa.record_batch(
+                        [pa.array(held.view(np.int64)), pa.array(n.astype(np.int64))],
+                        names=["shingle", "n"],
+                    )
+
+    found = docs.select("text").mapInArrow(count, "shingle long, n long")
+    return found.groupBy("shingle").agg(F.sum("n").alias("n"))
 
-    if not len(wanted):
-        return {}
-    counted = docs.select("text").mapInArrow(count, "word long, n long")
-    sums = counted.groupBy("word").agg(F.sum("n").alias("n")).collect()
-    return {row.word % (1 << 64): row.n for row in sums}
-
-
-def with_prefixes(block: Block, docs: DataFrame) -> Block:
-    """The block with each window's rarest word; equally rare words go by their hash."""
-    wanted = np.unique(block.words[block.words != 0])
-    counts = count_words(docs, wanted)
-    rarity = np.array([counts.get(int(w), 0) for w in wanted], dtype=np.int64)
-    place = np.lexsort((wanted, rarity))
-    rank = np.empty(len(wanted), dtype=np.int64)
-    rank[place] = np.arange(len(wanted))
-    inside = np.arange(block.words.shape[1]) < block.lengths[:, None]
-    at = np.minimum(np.searchsorted(wanted, block.words), max(len(wanted) - 1, 0))
-    ranks = np.where(inside, rank[at] if len(wanted) else 0, np.iinfo(np.int64).max)
-    offset = np.argmin(ranks, axis=1) if len(ranks) else np.zeros(0, np.int64)
-    prefix = block.words[np.arange(len(offset)), offset]
-    order = np.argsort(prefix, kind="stable")
-    number = np.empty(len(order), dtype=np.int64)
-    number[order] = np.arange(len(order))
-    pairs = np.argsort(number[block.window], kind="stable")
-    return Block(
-        block.lengths[order],
-        block.words[order],
-        number[block.window][pairs],
-        block.item[pairs],
-        prefix[order],
-        offset[order],
+
+def prefixed(shingles: DataFrame, counts: DataFrame, length: int) -> DataFrame:
+    """(item, words, size, shingle, offset): each window that may occur, and its prefix.
+
+    A window whose rarest shingle stands in no document occurs nowhere and goes.
+    """
+    inside = (
+        Window.partitionBy("item").orderBy("place").rowsBetween(0, length - min(SHINGLE, length))
     )
+    known = shingles.join(counts, "shingle", "left")
+    rarity = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "place")
+    return (
+        known.withColumn("rarest", F.min(rarity).over(inside))
+        .where((F.size("words") > 0) & (F.col("rarest.n") > 0))
+        .select(
+            "item",
+            "words",
+            "size",
+            F.col("rarest.shingle").alias("shingle"),
+            (F.col("rarest.place") - F.col("place")).cast("int").alias("offset"),
+        )
+    )
+
 
+def places(docs: DataFrame, wanted: Filter, length: int) -> DataFrame:
+    """(digest, place, shingle, lead, context): where distinct texts may hold a prefix.
 
-def occurrences(words: Words, block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, window) of every place where a window of the block occurs."""
-    low = np.searchsorted(block.prefix, words.hashes, "left")
-    near = np.flatnonzero(block.prefix[np.minimum(low, len(block.prefix) - 1)] == words.hashes)
-    low = low[near]
-    many = np.searchsorted(block.prefix, words.hashes[near], "right") - low
-    starts, windows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    steps = np.searchsorted(np.cumsum(many), np.arange(0, many.sum() + STEP, STEP))
-    for a, b in zip(steps, [*steps[1:], len(near)], strict=True):
-        if a == b:
-            continue
-        reps = many[a:b]
-        within = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
-        window = np.repeat(low[a:b], reps) + within
-        start = np.repeat(near[a:b], reps) - block.offset[window]
-        text = np.repeat(words.text[near[a:b]], reps)
-        fits = (start >= words.bounds[text]) & (start + block.lengths[window] <= words.bounds[text + 1])
-        start, window = start[fits], window[fits]
-        for k in range(block.words.shape[1]):
-            at = np.minimum(start + k, len(words) - 1)
-            same = (words.hashes[at] == block.words[window, k]) | (k >= block.lengths[window])
-            start, window = start[same], window[same]
-        starts.append(start)
-        windows.append(window)
-    return np.concatenate(starts), np.concatenate(windows)
-
-
-def _marker(blocks: list) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The context are the words that a window with the shingle may have, ``lead`` of them
+    before the place.
+    """
+    known = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 words = words_of(part.column("text"), PLAIN, lower=True)
-                edges = np.zeros(len(words) + 1, dtype=np.int64)
-                held: dict[int, set[str]] = {}
-                for shared in blocks:
-                    block = shared.value
-                    if not len(block.lengths) or not len(words):
-                        continue
-                    start, window = occurrences(words, block)
-                    np.add.at(edges, start, 1)
-                    np.add.at(edges, start + block.lengths[window], -1)
-                    pairs = np.unique(np.column_stack([words.text[start], window]), axis=0)
-                    for text, w in pairs.tolist():
-                        a, b = np.searchsorted(block.window, [w, w + 1])
-                        held.setdefault(text, set()).update(block.item[a:b])
-                hit = np.concatenate([[0], np.cumsum(np.cumsum(edges[:-1]) > 0)])
-                n_hit = hit[words.bounds[1:]] - hit[words.bounds[:-1]]
-                items = [sorted(held.get(k, ())) for k in range(part.num_rows)]
-                yield pa.record_batch(
-                    [
-                        *[part.column(c) for c in part.schema.names],
-                        pa.array(np.diff(words.bounds).astype(np.int64)),
-                        pa.array(n_hit.astype(np.int64)),
-                        pa.array(items, pa.list_(pa.string())),
-                    ],
-                    names=[*part.schema.names, "n_words", "n_hit", "items"],
-                )
-
-    return mark
+                for hashes, at in known.value.places(words):
+                    for begin in range(0, len(at), STEP):
+                        here = at[begin : begin + STEP]
+                        text = words.text[here]
+                        low = np.maximum(here - length + 1, words.bounds[text])
+                        high = np.minimum(here + length, words.bounds[text + 1])
+                        yield pa.record_batch(
+                            [
+                                part.column("digest").take(pa.array(text)),
+                                pa.array((here - words.bounds[text]).astype(np.int64)),
+                                pa.array(hashes[begin : begin + STEP].view(np.int64)),
+                                pa.array((here - low).astype(np.int32)),
+                                _lists(words.hashes, low, high - low),
+                            ],
+                            names=["digest", "place", "shingle", "lead", "context"],
+                        )
+
+    texts = docs.select(F.md5("text").alias("digest"), "text")
+    schema = "digest string, place long, shingle long, lead int, context array<long>"
+    return texts.mapInArrow(look, schema).distinct()
+
+
+def occurrences(near: DataFrame, windows: DataFrame) -> DataFrame:
+    """(digest, start, length, window) of every place where a window occurs in a text."""
+    window = F.xxhash64("words").alias("window")
+    shapes = windows.groupBy("shingle").agg(
+        F.collect_set(F.struct("offset", F.size("words").alias("length"))).alias("shapes")
+    )
+    tried = (
+        near.join(shapes, "shingle")
+        .select("digest", "place", "lead", "context", F.explode("shapes").alias("shape"))
+        .select("*", "shape.*")
+        .where("offset <= lead AND lead - offset + length <= size(context)")
+        .select(
+            "digest",
+            (F.col("place") - F.col("offset")).alias("start"),
+            "length",
+            F.expr("slice(context, lead - offset + 1, length)").alias("words"),
+        )
+    )
+    held = windows.select("words", window).distinct()
+    return tried.join(held, "words").select("digest", "start", "length", "window")
+
+
+def covered(hits: DataFrame) -> DataFrame:
+    """(digest, n_hit): how many words of each text are inside occurrences."""
+    before = Window.partitionBy("digest").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
+    end = F.col("start") + F.col("length")
+    reached = F.greatest("start", F.coalesce(F.max(end).over(before), F.lit(0)))
+    new = hits.select("digest", F.greatest(end - reached, F.lit(0)).alias("new"))
+    return new.groupBy("digest").agg(F.sum("new").alias("n_hit"))
+
+
+def owners(hits: DataFrame, windows: DataFrame, items: DataFrame) -> DataFrame:
+    """(digest, items): ids of the items with windows in each text, sorted."""
+    held = windows.select(F.xxhash64("words").alias("window"), "item")
+    ids = items.select(
+        F.md5("text").alias("item"), F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id")
+    )
+    return (
+        hits.select("digest", "window")
+        .distinct()
+        .join(held, "window")
+        .select("digest", "item")
+        .distinct()
+        .join(ids, "item")
+        .groupBy("digest")
+        .agg(F.sort_array(F.collect_set("id")).alias("items"))
+    )
+
+
+def found(
+    docs: DataFrame, items: DataFrame, length: int = LENGTH, filter_longs: int = FILTER_LONGS
+) -> DataFrame:
+    """(digest, n_hit, items) of the distinct texts that hold a window; a written table."""
+    work = Workspace(docs.sparkSession, "decontaminate")
+    shingles = work.keep(shingled(items.select("item_id", "text"), length), "shingles")
+    counts = counted(docs, filter_of(shingles.select("size", "shingle"), filter_longs))
+    windows = work.keep(prefixed(shingles, counts, length), "windows")
+    near = places(docs, filter_of(windows.select("size", "shingle"), filter_longs), length)
+    hits = work.keep(occurrences(near, windows), "hits")
+    out = work.keep(covered(hits).join(owners(hits, windows, items), "digest"), "found")
+    work.drop(shingles, windows, hits)
+    return out
+
+
+def _digest_and_count(text: Column) -> list[Column]:
+    n_words = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0))
+    return [F.md5(text).alias("__digest"), n_words.cast("bigint").alias("n_words")]
+
+
+def _with_found(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rows`` with ``n_hit`` and ``items`` in place of ``__digest``."""
+    return rows.join(texts, rows["__digest"] == texts["digest"], "left").select(
+        *[rows[c] for c in rows.columns if c != "__digest"],
+        F.coalesce(texts["n_hit"], F.lit(0)).alias("n_hit"),
+        F.coalesce(texts["items"], F.array().cast("array<string>")).alias("items"),
+    )
 
 
 def marked(
-    docs: DataFrame, items: DataFrame, length: int = LENGTH, block_words: int = BLOCK_WORDS
+    docs: DataFrame, items: DataFrame, length: int = LENGTH, filter_longs: int = FILTER_LONGS
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit`` (words inside occurrences) and ``items`` (ids, sorted)."""
-    ship_package(docs.sparkSession)
-    context = docs.sparkSession.sparkContext
-    blocks = [
-        context.broadcast(with_prefixes(block, docs)) for block in blocks_of(items, length, block_words)
-    ]
+    texts = found(docs, items, length, filter_longs)
     docs = docs.drop("n_words", "n_hit", "items")
-    added = T.StructType.fromDDL("n_words long, n_hit long, items array<string>")
-    schema = T.StructType([*docs.schema.fields, *added.fields])
-    return docs.mapInArrow(_marker(blocks), schema)
+    return _with_found(docs.select("*", *_digest_and_count(docs["text"])), texts)
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every document."""
-    return marked(docs.select("doc_id", "text"), items).select(
+    rows = docs.select("doc_id", *_digest_and_count(docs["text"]))
+    return _with_found(rows, found(docs, items)).select(
         "doc_id",
         "n_words",
         "n_hit",
@@ -227,6 +306,5 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents in which no window of any item occurs."""
-    found = marked(docs.withColumnsRenamed({"items": "__items", "n_words": "__words", "n_hit": "__hit"}), items)
-    clean = found.where(F.col("n_hit") == 0).drop("n_words", "n_hit", "items")
-    return clean.withColumnsRenamed({"__items": "items", "__words": "n_words", "__hit": "n_hit"})
+    texts = found(docs, items)
+    return docs.join(texts, F.md5(docs["text"]) == texts["digest"], "left_anti")

@@ -1,10 +1,12 @@
 """Benchmark windows and repeated passages."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from chorale.llm import decontaminate, substrings
@@ -49,11 +51,11 @@ ITEMS = [
 ]
 
 
-@pytest.mark.parametrize("block_words", [8, 2_000_000])
-def test_windows_equal_brute_force(spark, block_words):
+@pytest.mark.parametrize("filter_longs", [1, 1 << 20])
+def test_windows_equal_brute_force(spark, filter_longs):
     docs = odd.clashing(odd.table(spark))
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
-    found = decontaminate.marked(docs, items, block_words=block_words)
+    found = decontaminate.marked(docs, items, filter_longs=filter_longs)
     expected = expected_hits([r[:2] for r in odd.rows()], ITEMS)
     got = [
         (r.doc_id, r.n_words, r.n_hit, len(r["items"]),
@@ -76,6 +78,33 @@ def test_clean_documents_stay_whole(spark):
         assert left.count() == none.count()
 
 
+def test_few_words_and_many_copies_equal_brute_force(spark):
+    """Shingles that nearly all windows share, ties of rarity, and a third of all rows equal."""
+    deal = random.Random(5)
+    say = lambda n, m: " ".join(f"w{deal.randrange(m)}" for _ in range(n))
+    items = [(k, say(deal.choice([1, 2, 3, 9, 10, 11, 40]), deal.choice([1, 2, 3]))) for k in range(40)]
+    items += [(k, items[-1][1]) for k in range(100, 120)]
+    docs = [(k, say(deal.randrange(60), deal.choice([1, 2, 3]))) for k in range(200)]
+    docs += [(k, f"before {items[-1][1]} after") for k in range(500, 600)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    found = decontaminate.report(table, spark.createDataFrame(items, "item_id long, text string"))
+    odd.same_rows(found.collect(), expected_hits(docs, items))
+
+
+def test_copies_are_looked_up_once_and_the_filter_is_bounded(spark):
+    passage = " ".join(f"shared{k}" for k in range(40))
+    docs = spark.range(3000).select("id", F.lit(passage).alias("text")).repartition(5)
+    items = docs.select(F.col("id").alias("item_id"), "text")
+    shingles = decontaminate.shingled(items, 10)
+    assert shingles.count() == 38
+    known = decontaminate.filter_of(shingles, 4)
+    assert len(known.bits) == 4 and known.sizes == 1 << 3
+    near = decontaminate.places(docs, known, 10)
+    assert near.count() == 38
+    counts = {r.n for r in decontaminate.counted(docs, known).collect()}
+    assert counts == {3000}
+
+
 def without_repeats(docs, length=35):
     seen = Counter()
     for _, text in docs:
