@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chorale.operators import factors as fa
 from chorale.operators import nearest
+from chorale.operators import factor_ranks
 from chorale.operators.factor_ranks import full_rank_sums
 from chorale.plans import comparison, factors
 
@@ -255,3 +256,18 @@ def test_halving_keeps_the_better_half(spark, ratings, validation, monkeypatch):
     tuned = factors.tune(ratings, validation, grid, 5, 1, blocks=2, halvings=2)
     assert [p.iterations for p in fitted] == [2] * 4 + [4] * 2 + [8]
     assert tuned.best == fitted[-1] and tuned.results.count() == 1 and tuned.best.iterations == 8
+
+
+def test_full_ranks_meet_few_user_blocks_at_once(validation, fitted):
+    model, indexes = fitted
+    relevant = fa.index_pairs(validation, indexes).select("user_index", "track_id_index").distinct()
+    item_factors = model.itemFactors.select(F.col("id").alias("track_id_index"), F.col("features").alias("item_features"))
+    scored = factor_ranks._scored_pairs(model, relevant, item_factors)
+    first = F.max_by("track_id_index", F.struct("score", -F.col("track_id_index"))).alias("first_item")
+    pairs = scored.join(scored.groupBy("user_index").agg(F.count(F.lit(1)).alias("n_ranked"), first), "user_index")
+    cells = factor_ranks._dealt_cells(model, pairs, relevant, item_factors, 2, 4, 3)
+    n_user_blocks = -(-relevant.count() // 2)
+    assert n_user_blocks > 3 * 4
+    assert cells.groupBy("item_block", "copy").count().agg(F.max("count")).first()[0] <= 3
+    few = full_rank_sums(model, relevant, 2, 4, 3).collect()
+    assert sorted(few) == sorted(full_rank_sums(model, relevant, 2, 4).collect())
