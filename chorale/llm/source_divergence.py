@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chorale.llm.words import coded_words, slices
-from chorale.session import scratch_path, ship_package
+from chorale.session import Workspace, scratch_path, ship_package
 
 MIN_DOCS = 30
 TOP_TERMS = 50
@@ -47,6 +47,8 @@ BLOCK_ROWS = 100_000
 TILE = 256
 ROWS_AT_ONCE = 1 << 20
 SLICE_BYTES = 4 << 20
+# Bytes of groups that are sent to all tasks, and those of a group besides its names.
+GROUPS_SENT, GROUP_BYTES = 8 << 20, 64
 
 # Letters of ASCII and all bytes beyond it belong to terms.
 _IN_TERM = np.zeros(256, dtype=bool)
@@ -162,18 +164,34 @@ def _groups(docs: DataFrame, counts: DataFrame) -> DataFrame:
     """(lang, source, n_group, n_lang, v, tiles, absent): each group, the sums of its language,
     and the price of a term that the group lacks (null without kept terms)."""
     there = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
-    of_group = counts.groupBy("lang", "source").agg(F.sum("n").alias("n_group"))
-    of_lang = counts.groupBy("lang").agg(
-        F.sum("n").alias("n_lang"), F.sum(F.col("first").cast("bigint")).alias("v")
+    found = counts.select("lang", "source", "n", F.col("first").cast("bigint").alias("first"))
+    rows = found.unionByName(there.withColumns({"n": F.lit(0).cast("bigint"), "first": F.lit(0).cast("bigint")}))
+    # A group has one row from here on, so a language is few rows.
+    groups = rows.groupBy("lang", "source").agg(F.sum("n").alias("n_group"), F.sum("first").alias("firsts"))
+    of_lang = Window.partitionBy("lang")
+    joined = groups.select(
+        "lang",
+        "source",
+        "n_group",
+        F.sum("n_group").over(of_lang).alias("n_lang"),
+        F.sum("firsts").over(of_lang).alias("v"),
+        F.ceil(F.count(F.lit(1)).over(of_lang) / TILE).cast("int").alias("tiles"),
     )
-    tiles = there.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
-    joined = (
-        there.join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left").join(tiles, "lang")
-    ).na.fill(0, ["n_group", "n_lang", "v"])
     absent = F.when(F.col("v") > 0, _price("0L", "n_group", "v"))
     return joined.withColumn("absent", absent)
 
 
+def _with_groups(counts: DataFrame, groups: DataFrame) -> DataFrame:
+    """``counts`` beside their group's sums; the groups go to all tasks if they are few.
+
+    The counts compress well, so their file says little of their size in memory, and Spark
+    would send them to the driver and all tasks. How they are joined is settled by the groups.
+    """
+    size = F.sum(F.octet_length("lang") + F.octet_length("source") + F.lit(GROUP_BYTES))
+    few = (groups.agg(size).first()[0] or 0) <= GROUPS_SENT
+    return counts.join(groups.hint("broadcast" if few else "merge"), ["lang", "source"])
+
+
 def _dealt(rows: DataFrame) -> DataFrame:
     """Each row for all pairs of tiles (low, high) that its source's tile is in."""
     tile = F.pmod(F.xxhash64("source"), F.col("tiles")).cast("int")
@@ -295,8 +313,8 @@ def audited(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERM
     """(lang, source, part, item, value, rank) for all groups.
 
     Part ``pair`` ranks the other sources by divergence, part ``term`` the terms that stand
-    out against the language. The counts of kept terms are written once under the run's
-    folder; everything else reads them.
+    out against the language. The counts of kept terms and the groups are written once under
+    the run's folder; everything else reads them.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -304,8 +322,8 @@ def audited(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERM
     term_counts(collapsed(docs), min_docs).write.parquet(path)
     counts = spark.read.parquet(path)
     n_blocks = max(1, math.ceil(counts.count() / BLOCK_ROWS))
-    groups = _groups(docs, counts)
-    priced = counts.join(groups, ["lang", "source"]).withColumns(
+    groups = Workspace(spark, "divergence").keep(_groups(docs, counts), "groups")
+    priced = _with_groups(counts, groups).withColumns(
         {"price": _price("n", "n_group", "v"), "of_lang": _price("total", "n_lang", "v")}
     )
     above = priced.where("price > of_lang").select(

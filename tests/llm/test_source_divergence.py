@@ -89,3 +89,17 @@ def test_rows_in_hand_change_nothing(spark, monkeypatch):
 
 def test_empty_table_gives_empty_table(spark):
     assert sd.audited(odd.table(spark).limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("sent", [1 << 20, 0])
+def test_counts_of_terms_are_never_broadcast(spark, monkeypatch, sent):
+    """Their file is small beside their rows, so its size must not decide."""
+    monkeypatch.setattr(sd, "GROUPS_SENT", sent, raising=False)
+    rows = many(13)
+    docs = spark.createDataFrame(rows, odd.SCHEMA)
+    found = sd.audited(docs, min_docs=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join .*", plan)
+    assert joins and not any("BuildLeft" in join for join in joins)
+    assert all(("BroadcastHashJoin" in join) == (sent != 0) for join in joins)
+    odd.same_rows(found.collect(), expected(rows, 2, 50))
