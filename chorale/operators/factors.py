@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from chorale.columns import ITEM, ITEM_INDEX, PLAYS, POSITION, USER, USER_INDEX
 from chorale.operators.features import apply_index, frequency_index
-from chorale.session import ensure_checkpoint_dir
+from chorale.session import ensure_checkpoint_dir, free_shuffles
 
 # ALS cuts users and items into blocks and works on the product of both, so that many
 # pairs lie in one block of that product. A task holds a row of the product.
@@ -67,11 +67,12 @@ def fit_factors(
 ) -> ALSModel:
     """Fit non-negative implicit ALS; unknown users and items get no prediction.
 
-    The checkpoint folder lets ALS cut its lineage every ten iterations, so a
-    lost executor costs only the iterations since then. Unless ``blocks`` is given, the
+    ALS cuts its lineage in the checkpoint folder at each iteration and deletes the shuffle
+    files of those before, so disk does not grow with the iterations. Unless ``blocks`` is given, the
     pairs are counted first, and the number of blocks grows as the root of that count.
     """
     ensure_checkpoint_dir(indexed.sparkSession)
+    free_shuffles(indexed.sparkSession)
     # Factors start from random numbers per block: the number must come from the data, or
     # another cluster would get another model.
     n_blocks = blocks or max(1, math.isqrt(indexed.count() // PAIRS_PER_BLOCK))
@@ -89,6 +90,7 @@ def fit_factors(
         implicitPrefs=True,
         numUserBlocks=n_blocks,
         numItemBlocks=n_blocks,
+        checkpointInterval=1,
     )
     return als.fit(indexed.select(USER_INDEX, ITEM_INDEX, PLAYS))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -93,6 +94,13 @@ def _remove(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that nothing refers to any more: it does so only
+    when the driver collects its garbage, which a driver with little to do may not for long."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class Workspace:
     """Tables that a job writes under the run's folder on its way to a result.
 

@@ -1,4 +1,6 @@
+import gc
 import random
+import time
 
 import numpy as np
 import pytest
@@ -271,3 +273,24 @@ def test_full_ranks_meet_few_user_blocks_at_once(validation, fitted):
     assert cells.groupBy("item_block", "copy").count().agg(F.max("count")).first()[0] <= 3
     few = full_rank_sums(model, relevant, 2, 4, 3).collect()
     assert sorted(few) == sorted(full_rank_sums(model, relevant, 2, 4).collect())
+
+
+def test_shuffle_files_do_not_grow_with_the_iterations(spark, ratings):
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    indexed = fa.index_pairs(ratings, fa.train_indexes(ratings)).cache()
+    indexed.count()
+
+    def left():
+        return set(tracker.shuffleStatuses().keys().mkString(",").split(","))
+
+    def left_by(iterations):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(2)
+        before = left()
+        model = fa.fit_factors(indexed, fa.FactorParams(2, 0.1, 1.0, iterations), blocks=2)
+        return len(left() - before), model
+
+    (few, _), (many, _) = left_by(2), left_by(9)
+    assert many <= few + 2
+    indexed.unpersist()
