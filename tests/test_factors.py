@@ -11,7 +11,7 @@ from chorale.operators import factors as fa
 from chorale.operators import nearest
 from chorale.operators import factor_ranks
 from chorale.operators.factor_ranks import full_rank_sums
-from chorale.plans import comparison, factors
+from chorale.plans import catalogue, comparison, factors
 
 RATINGS = "user_id bigint, recording_msid string, play_count bigint"
 PARAMS = fa.FactorParams(rank=3, reg=0.05, alpha=1.0, iterations=4)
@@ -294,3 +294,19 @@ def test_shuffle_files_do_not_grow_with_the_iterations(spark, ratings):
     (few, _), (many, _) = left_by(2), left_by(9)
     assert many <= few + 2
     indexed.unpersist()
+
+
+def test_edge_check_is_over_the_whole_ranges(spark, folder, monkeypatch):
+    grids = []
+
+    def tune(train, validation, grid, *args, **more):
+        grids.append(list(grid))
+        rows = [(p.rank, p.reg, p.alpha, p.iterations, 1.0 if p == factors.FactorParams(50, 0.05, 10.0, 5) else 0.5) for p in grid]
+        results = spark.createDataFrame(rows, ["rank", "reg", "alpha", "iterations", "map"])
+        return factors.Tuned(results, None, None, None)
+
+    monkeypatch.setattr(factors, "tune", tune)
+    found = {r.parameter: r for r in catalogue.tune_edge_check(spark, folder).collect()}
+    assert grids == [factors.parameter_grid(factors.RANKS, factors.REGS, factors.ALPHAS, factors.ITERATIONS)]
+    assert {name: r.n_values for name, r in found.items()} == {"rank": 5, "reg": 4, "alpha": 4, "iterations": 4}
+    assert {name: r.on_edge for name, r in found.items()} == {"rank": False, "reg": False, "alpha": True, "iterations": True}
